@@ -39,6 +39,20 @@ def latest_per_key(
     return df.groupBy(*keys).agg(newest.alias("_v")).select(*keys, "_v.*").select(*df.columns)
 
 
+def collapse_results(results: DataFrame) -> DataFrame:
+    """Archived results without their copies, in an order that can be relied on.
+
+    Copies of one instant are equal but for the first speed-change record.
+    ``position`` puts that one first, so that (time, position) is unique per
+    key. Duplicates are merged before the shuffle.
+    """
+    follows = (
+        (F.col("outputType") == S.SPEED_DIFFERENTIAL)
+        & F.col("previousSpeed").eqNullSafe(F.col("currentSpeed"))
+    )
+    return results.dropDuplicates().withColumn("position", F.when(follows, 1).otherwise(0))
+
+
 def latest_state(
     results: DataFrame,
     order: Sequence[str] = ("recordTimestamp", "position"),
@@ -48,6 +62,7 @@ def latest_state(
 
     Averages are overwritten each time. The two flags are written only when
     they change, so their row is the last change point, not the newest result.
+    The order must be unique per key; see ``collapse_results`` for an archive.
     """
     order = [c for c in order if c in results.columns]
     average = F.col("outputType") == S.SPEED_AVG

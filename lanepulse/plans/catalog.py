@@ -11,7 +11,7 @@ from lanepulse import schemas as S
 from lanepulse.functions import expressions as E
 from lanepulse.functions import times
 from lanepulse.operators import (
-    changes, cleaning, indicators, output, reshape, state, stations, windows,
+    changes, cleaning, indicators, output, reshape, slices, state, stations, windows,
 )
 from lanepulse.plans import adapters as A
 from lanepulse.plans import round_trips, traffic
@@ -50,6 +50,12 @@ def _state(spark, d) -> DataFrame:
     return traffic.traffic_state(A.measurements(spark, d), A.locations(spark, d), **A.WINDOWS)
 
 
+def _daily(spark, d) -> DataFrame:
+    """Measurements with observation times cut to days."""
+    return A.measurements(spark, d).withColumn(
+        "recordTimestamp", F.date_trunc("day", "recordTimestamp").cast("timestamp_ntz"))
+
+
 PROFILE_COLUMNS = (
     "uniqueId", "speed", "bezettingsgraad", "recordTimestamp", "avgSpeed3Minutes",
     "avgSpeed10Minutes", "originalRecordTimestamp",
@@ -72,10 +78,8 @@ def speed_profile_minutes(spark, d):
 @query
 def speed_profile_ties(spark, d):
     """Observation times cut to days: many readings share an instant."""
-    daily = A.measurements(spark, d).withColumn(
-        "recordTimestamp", F.date_trunc("day", "recordTimestamp").cast("timestamp_ntz"))
     options = {**A.WINDOWS, "spread_above": 2}
-    return windows.speed_readings(daily, **options).select(
+    return windows.speed_readings(_daily(spark, d), **options).select(
         *PROFILE_COLUMNS, "previousSpeed")
 
 
@@ -146,9 +150,7 @@ def traffic_output(spark, d):
 @query
 def traffic_output_ties(spark, d):
     """Result stream when many readings share an instant."""
-    daily = A.measurements(spark, d).withColumn(
-        "recordTimestamp", F.date_trunc("day", "recordTimestamp").cast("timestamp_ntz"))
-    return traffic.traffic_results(daily, A.locations(spark, d), **A.WINDOWS)
+    return traffic.traffic_results(_daily(spark, d), A.locations(spark, d), **A.WINDOWS)
 
 
 @query
@@ -164,16 +166,16 @@ def tag_output(spark, d):
 
 @query
 def variant_routing(spark, d):
-    parts = output.route(_results(spark, d))
-    counted = [
-        df.agg(F.count(F.lit(1)).alias("n"), F.sum("currentSpeed").alias("total"))
-        .select(F.lit(t).alias("outputType"), "n", "total")
-        for t, df in parts.items()
-    ]
-    first, *rest = counted
-    for other in rest:
-        first = first.unionByName(other)
-    return first
+    """Results of known variants, counted per variant."""
+    return output.known_variants(_results(spark, d)).groupBy("outputType").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("currentSpeed").alias("total"))
+
+
+@query
+def routed_averages(spark, d):
+    """One branch of the split by variant."""
+    return output.route(_results(spark, d))[S.SPEED_AVG].select(
+        "uniqueId", "currentSpeed", "avgSpeed3Minutes", "avgSpeed10Minutes", "recordTimestamp")
 
 
 @query
@@ -221,6 +223,14 @@ def latest_state(spark, d):
     return _state(spark, d)
 
 
+@query
+def latest_state_ties(spark, d):
+    """State after readings that share their instants."""
+    return traffic.traffic_state(_daily(spark, d), A.locations(spark, d), **A.WINDOWS).select(
+        "uniqueId", "outputType", "recordTimestamp", "currentSpeed", "avgSpeed3Minutes",
+        "speedDiffIndicator", "trafficJamIndicator")
+
+
 @query
 def change_feed(spark, d):
     feed = traffic.jam_feed(A.measurements(spark, d), A.locations(spark, d), **A.WINDOWS)
@@ -236,13 +246,16 @@ def change_feed(spark, d):
 @query
 def state_change_feed(spark, d):
     """Feed of both flag items; only entries with a jam flag go on to alerts."""
-    keys = S.STATE_KEYS
-    results = _results(spark, d).where(F.col("outputType") != S.SPEED_AVG)
+    results = traffic.change_results(
+        A.measurements(spark, d), A.locations(spark, d), **A.WINDOWS
+    ).where(F.col("outputType") != S.SPEED_AVG)
     flag = F.coalesce("speedDiffIndicator", "trafficJamIndicator")
-    order = ["originalRecordTimestamp"]
-    items = changes.change_points(results.withColumn("_flag", flag), keys, "_flag", order)
-    feed = changes.jam_changes(changes.change_feed(items.drop("_flag"), keys, order))
-    return feed.select(
+    order = ["originalRecordTimestamp", "position"]
+    options = {"slice_col": slices.SLICE}
+    items = changes.change_points(
+        results.withColumn("_flag", flag), S.STATE_KEYS, "_flag", order, **options)
+    feed = changes.change_feed(items.drop("_flag"), S.STATE_KEYS, order, **options)
+    return changes.jam_changes(feed).select(
         "uniqueId", "outputType", "originalRecordTimestamp",
         F.col("old").isNull().cast("int").alias("isNew"),
         F.col("new.trafficJamIndicator").alias("trafficJamIndicator"))

@@ -278,6 +278,8 @@ def build(allowed: str, map_stations: tuple[str, ...]) -> dict[str, str]:
         "tag_output": f"{f}{_RESULTS} SELECT {_RESULT} FROM r WHERE outputType = 'TRAFFIC_JAM'",
         "variant_routing": f"""{f}{_RESULTS} SELECT outputType, count(*) AS n,
             CAST(sum(currentSpeed) AS BIGINT) AS total FROM r GROUP BY outputType""",
+        "routed_averages": f"""{f}{_RESULTS} SELECT uniqueId, currentSpeed, avgSpeed3Minutes,
+            avgSpeed10Minutes, recordTimestamp FROM r WHERE outputType = 'SPEED_AVG'""",
         "composite_key": f"""{f}{_RESULTS} SELECT uniqueId, outputType, recordTimestamp,
             outputType || '_' || recordTimestamp AS outputType_recordTimestamp FROM r""",
         "state_item": f"""{f}{_RESULTS} SELECT CAST(uniqueId AS VARCHAR) AS uniqueId, outputType,
@@ -296,6 +298,9 @@ def build(allowed: str, map_stations: tuple[str, ...]) -> dict[str, str]:
             SELECT uniqueId, speed AS currentSpeed, avgSpeed3Minutes, avgSpeed10Minutes,
             recordTimestamp, originalRecordTimestamp FROM n WHERE rn = 1""",
         "latest_state": f"{f}{_STATE} SELECT * FROM state",
+        "latest_state_ties": f"""{_flagged(ts=_DAY)}{_STATE} SELECT uniqueId, outputType,
+            recordTimestamp, currentSpeed, avgSpeed3Minutes, speedDiffIndicator,
+            trafficJamIndicator FROM state""",
         "change_feed": f"""{f}{_JAM_POINTS} SELECT uniqueId, originalRecordTimestamp,
             lag(trafficJamIndicator) OVER k AS oldIndicator,
             lag(recordTimestamp) OVER k AS oldTimestamp,
@@ -444,6 +449,7 @@ def build(allowed: str, map_stations: tuple[str, ...]) -> dict[str, str]:
         "snapshot_json": "flat_events",
         "published_events": "json_parse",
         "state_table": "latest_state",
+        "state_from_archive": "latest_state",
         "json_dump": "latest_state",
         "location_table": "locations_build",
         "stream_speed_profile": "speed_profile",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lanepulse import schemas as S
 from lanepulse import storage
-from lanepulse.operators import cleaning, reshape, state, stations
+from lanepulse.operators import cleaning, output, reshape, state, stations
 from lanepulse.plans import adapters as A
 from lanepulse.plans import traffic
 from lanepulse.sinks import files
@@ -137,11 +137,19 @@ def archived_results(spark, d):
         FROM results GROUP BY outputType""")
 
 
+def _written_state(spark, d) -> DataFrame:
+    """State items, computed once into a table."""
+    path = storage.work_folder(spark, "items")
+    traffic.traffic_state(
+        A.measurements(spark, d), A.locations(spark, d), **A.WINDOWS).write.parquet(path)
+    return spark.read.schema(S.STATE).parquet(path)
+
+
 @query
 def state_table(spark, d):
     """State written in two batches, the second repeated, then scanned."""
     path = storage.work_folder(spark, "state")
-    items = traffic.traffic_state(A.measurements(spark, d), A.locations(spark, d), **A.WINDOWS)
+    items = _written_state(spark, d)
     averages = F.col("outputType") == S.SPEED_AVG
     keyed.write_state(spark, path, items.where(averages), 0)
     keyed.write_state(spark, path, items, 1)
@@ -149,6 +157,15 @@ def state_table(spark, d):
     return tables.scan_state(spark, path)
 
 
+@query
+def state_from_archive(spark, d):
+    """State rebuilt from archived result records."""
+    path = storage.work_folder(spark, "results-archive")
+    files.archive_results(_results(spark, d), path)
+    results = state.collapse_results(event_sources.read_results_archive(spark, path))
+    return output.to_state_item(state.latest_state(results))
+
+
 @query
 def alert_table(spark, d):
     path = storage.work_folder(spark, "alerts")
@@ -199,8 +216,7 @@ def station_config_xml(spark, d):
 def json_dump(spark, d):
     """Full dump of the state as JSON lines."""
     path = storage.work_folder(spark, "dump")
-    items = traffic.traffic_state(A.measurements(spark, d), A.locations(spark, d), **A.WINDOWS)
-    files.dump_json(items, path)
+    files.dump_json(_written_state(spark, d), path)
     return spark.read.schema(S.STATE).json(path)
 
 
@@ -208,7 +224,7 @@ def json_dump(spark, d):
 def cleared_table(spark, d):
     """A keyed table that was emptied and written again."""
     path = storage.work_folder(spark, "cleared")
-    items = traffic.traffic_state(A.measurements(spark, d), A.locations(spark, d), **A.WINDOWS)
+    items = _written_state(spark, d)
     jam = F.col("outputType") == S.TRAFFIC_JAM
     keyed.write_state(spark, path, items.where(jam))
     keyed.clear_table(spark, path, S.STATE)

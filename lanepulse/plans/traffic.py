@@ -42,8 +42,12 @@ def traffic_results(
     )
 
 
-def _state_results(measurements: DataFrame, locations: DataFrame, **options) -> DataFrame:
-    """Result records as far as state needs them: no third copy of an instant."""
+def change_results(measurements: DataFrame, locations: DataFrame, **options) -> DataFrame:
+    """Result records as far as changes go: no third copy of an instant.
+
+    Keeps ``position`` and the slice, so that (time, position) is unique per
+    sensor and variant and change detection needs no further shuffle.
+    """
     readings = windows.repeat_copies(windows.speed_profile(measurements, **options), at_most=2)
     return readings.transform(indicators.traffic_indicators).transform(
         output.traffic_output, locations)
@@ -51,7 +55,7 @@ def _state_results(measurements: DataFrame, locations: DataFrame, **options) ->
 
 def traffic_state(measurements: DataFrame, locations: DataFrame, **options) -> DataFrame:
     """Items of the latest-state table after all measurements."""
-    results = _state_results(measurements, locations, **options)
+    results = change_results(measurements, locations, **options)
     order = ["originalRecordTimestamp", "position"]
     newest = state.latest_state(results, order, slice_col=slices.SLICE)
     return output.to_state_item(newest)

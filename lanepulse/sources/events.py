@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from lanepulse import schemas as S
 from lanepulse.operators import output
@@ -16,13 +17,19 @@ def read_events_jsonl(
     glob: str | None = None,
     max_files: int | None = None,
     latest_first: bool = False,
+    corrupt_col: str | None = None,
 ) -> DataFrame:
     """Flat events, one JSON record per line, all fields as text.
 
-    Lines that are no JSON end up as all-NULL rows (PERMISSIVE mode).
+    A line that is no JSON gives a row of NULLs; with ``corrupt_col`` its text
+    is kept in that column, for the quarantine.
     """
     reader = spark.readStream if stream else spark.read
-    reader = reader.schema(S.FLAT_EVENT)
+    schema = S.FLAT_EVENT
+    if corrupt_col is not None:
+        schema = T.StructType([*schema.fields, T.StructField(corrupt_col, T.StringType())])
+        reader = reader.option("columnNameOfCorruptRecord", corrupt_col)
+    reader = reader.schema(schema)
     if glob is not None:
         reader = reader.option("pathGlobFilter", glob)
     if stream and max_files is not None:

@@ -68,6 +68,9 @@ class TrafficSinks:
         profile = output.enrich_location(profile, self.locations).persist(
             StorageLevel.MEMORY_AND_DISK)
         try:
+            # Counting runs every partition, as the state commits need.
+            if profile.count() == 0:
+                return
             self._results(profile, batch_id)
             self._state(profile, batch_id)
             self._alerts(profile, batch_id)

@@ -21,12 +21,15 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 # Shipped with the query itself, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-_RECENT = T.StructType([
-    T.StructField("us", T.LongType()),
-    T.StructField("total", T.LongType()),
-    T.StructField("n", T.LongType()),
-])
-_STORED = T.StructType([
+# Rows per emitted frame.
+CHUNK = 10_000
+
+# One value per sensor, so that a batch costs one read and one write: the
+# instants of the last ten minutes, the last speed and the stored flags.
+_STATE = T.StructType([
+    T.StructField("us", T.ArrayType(T.LongType())),
+    T.StructField("total", T.ArrayType(T.LongType())),
+    T.StructField("n", T.ArrayType(T.LongType())),
     T.StructField("speed", T.IntegerType()),
     T.StructField("jam_ms", T.LongType()),
     T.StructField("jam_speed", T.IntegerType()),
@@ -60,14 +63,27 @@ def _averages(total: np.ndarray, n: np.ndarray) -> list[int | None]:
     return [int(v) if k else None for v, k in zip(value, n)]
 
 
+def _column(values: tuple, dtype: T.DataType) -> pd.arrays.IntegerArray:
+    kind = np.int64 if isinstance(dtype, T.LongType) else np.int32
+    return pd.arrays.IntegerArray(
+        np.array([0 if v is None else v for v in values], dtype=kind),
+        np.array([v is None for v in values], dtype=bool))
+
+
+def _frame(rows: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame({
+        f.name: _column(values, f.dataType)
+        for f, values in zip(PROFILE.fields, zip(*rows))
+    })
+
+
 class SpeedProcessor(StatefulProcessor):
     def __init__(self, short: int, long: int, low: int, high: int, threshold: int):
         self.short, self.long = short * 1_000_000, long * 1_000_000
         self.low, self.high, self.threshold = low, high, threshold
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.recent = handle.getListState("recent", _RECENT)
-        self.stored = handle.getValueState("stored", _STORED)
+        self.state = handle.getValueState("sensor", _STATE)
 
     def _jam(self, avg: int | None, occupancy: int | None) -> int:
         if avg is not None and 0 <= avg <= self.low and occupancy not in (None, 0):
@@ -85,31 +101,36 @@ class SpeedProcessor(StatefulProcessor):
     def handleInputRows(
         self, key, rows: Iterator[pd.DataFrame], timerValues
     ) -> Iterator[pd.DataFrame]:
-        new = pd.concat(list(rows)).sort_values("us")
-        past = np.array(list(self.recent.get()), dtype=np.int64).reshape(-1, 3)
-        us = np.concatenate([past[:, 0], new["us"].to_numpy(np.int64)])
-        total = np.concatenate([past[:, 1], new["speed_sum"].fillna(0).to_numpy(np.int64)])
-        n = np.concatenate([past[:, 2], new["speed_n"].to_numpy(np.int64)])
-        first = len(past)
+        frames = list(rows)
+        new = frames[0] if len(frames) == 1 else pd.concat(frames)
+        order = np.argsort(new["us"].to_numpy())
+
+        def arrived(name: str) -> np.ndarray:
+            # Sums are NULL where nothing was counted.
+            return np.nan_to_num(new[name].to_numpy(np.float64))[order].astype(np.int64)
+
+        stored = self.state.get()
+        seen = stored is not None
+        past_us, past_total, past_n, last, jam_ms, jam_speed, jam_flag, diff_flag = (
+            stored or ([], [], []) + (None,) * 5)
+        us = np.concatenate([np.array(past_us, np.int64), new["us"].to_numpy(np.int64)[order]])
+        total = np.concatenate([np.array(past_total, np.int64), arrived("speed_sum")])
+        n = np.concatenate([np.array(past_n, np.int64), arrived("speed_n")])
+        first = len(past_us)
+        sums = np.concatenate([[0], np.cumsum(total)])
+        counts = np.concatenate([[0], np.cumsum(n)])
+        end = np.arange(first, len(us)) + 1
 
         def sliding(width: int) -> list[int | None]:
             start = np.searchsorted(us, us[first:] - width, side="left")
-            end = np.arange(first, len(us)) + 1
-            sums = np.concatenate([[0], np.cumsum(total)])
-            counts = np.concatenate([[0], np.cumsum(n)])
             return _averages(sums[end] - sums[start], counts[end] - counts[start])
 
         speed = _averages(total[first:], n[first:])
-        occupancy = _averages(
-            new["occupancy_sum"].fillna(0).to_numpy(np.int64),
-            new["occupancy_n"].to_numpy(np.int64))
+        occupancy = _averages(arrived("occupancy_sum"), arrived("occupancy_n"))
         short, long = sliding(self.short), sliding(self.long)
 
-        stored = self.stored.get() if self.stored.exists() else None
-        seen = stored is not None
-        last, jam_ms, jam_speed, jam_flag, diff_flag = stored or (None,) * 5
         out = []
-        for i, (at, copies) in enumerate(zip(us[first:], new["copies"])):
+        for i, (at, copies) in enumerate(zip(us[first:], arrived("copies"))):
             before = last if seen else speed[i]
             jam = self._jam(short[i], occupancy[i])
             change = self._change(speed[i], before)
@@ -124,16 +145,12 @@ class SpeedProcessor(StatefulProcessor):
             last, seen = speed[i], True
 
         keep = us >= us[-1] - self.long
-        self.recent.put([
-            (int(a), int(b), int(c)) for a, b, c in zip(us[keep], total[keep], n[keep])])
-        self.stored.update((last, jam_ms, jam_speed, jam_flag, diff_flag))
-        columns = {
-            f.name: pd.array(
-                [r[j] for r in out],
-                dtype="Int64" if isinstance(f.dataType, T.LongType) else "Int32")
-            for j, f in enumerate(PROFILE.fields)
-        }
-        yield pd.DataFrame(columns)
+        self.state.update((
+            us[keep].tolist(), total[keep].tolist(), n[keep].tolist(),
+            last, jam_ms, jam_speed, jam_flag, diff_flag,
+        ))
+        for begin in range(0, len(out), CHUNK):
+            yield _frame(out[begin:begin + CHUNK])
 
     def close(self) -> None:
         pass

@@ -18,18 +18,24 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
 
+CHANGELOG = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
+PARTITIONS = "spark.sql.shuffle.partitions"
+
+
 @contextmanager
-def rocksdb_state(spark: SparkSession):
-    """RocksDB state for queries started inside; the setting is put back."""
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
+def settings(spark: SparkSession, values: dict[str, str]):
+    """Settings for queries started inside; the old ones are put back."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(PROVIDER)
-        else:
-            spark.conf.set(PROVIDER, before)
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def stream_speed_profile(
@@ -115,13 +121,17 @@ def start(
     checkpoint: str,
     *,
     trigger: str | None = "10 seconds",
+    partitions: int | None = None,
     name: str | None = None,
 ) -> StreamingQuery:
     """Run ``sink`` on each micro-batch.
 
     ``trigger`` is the batch interval; ``None`` processes what is there and
-    stops. Rows per batch are limited at the source (``max_files``).
+    stops. Rows per batch are limited at the source (``max_files``). State has
+    one partition per core unless ``partitions`` says otherwise; a checkpoint
+    keeps the number it began with.
     """
+    spark = sdf.sparkSession
     writer = sdf.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     if name is not None:
         writer = writer.queryName(name)
@@ -129,7 +139,8 @@ def start(
         writer.trigger(availableNow=True) if trigger is None
         else writer.trigger(processingTime=trigger)
     )
-    with rocksdb_state(sdf.sparkSession):
+    number = partitions or spark.sparkContext.defaultParallelism
+    with settings(spark, {PROVIDER: ROCKSDB, CHANGELOG: "true", PARTITIONS: str(number)}):
         return writer.start()
 
 
