@@ -44,19 +44,21 @@ def with_lookback(
     # All columns go along, though LAG needs few: with the same columns on
     # both branches Spark reads the shuffle of ``df`` twice, not the source.
     values = [c for c in df.columns if c not in (key, ts)]
+    # Rows without a time come first, as in any ascending order.
+    age = F.coalesce(times.epoch_micros(df, ts), F.lit(-(2**63)))
     closing = (
-        df.withColumn("_home", first_slice)
+        df.withColumns({"_home": first_slice, "_age": age})
         .groupBy(key, "_home")
         .agg(
             F.max(ts).alias(ts),
-            *[F.max_by(c, ts).alias(c) for c in values],
+            *[F.max_by(c, "_age").alias(c) for c in values],
         )
     )
     following = Window.partitionBy(key).orderBy("_home")
     reached = F.floor((times.epoch_seconds(df, ts) + F.lit(reach)) / F.lit(seconds))
     carried = (
         closing.withColumn(SLICE, F.lead("_home").over(following))
-        .where(F.col(ts).isNotNull() & (F.col(SLICE) > reached))
+        .where(F.col(SLICE) > F.coalesce(reached, F.col(SLICE) - 1))
         .withColumn("_own", F.lit(False))
     )
     columns = [*df.columns, SLICE, "_own"]

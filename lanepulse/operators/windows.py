@@ -154,10 +154,13 @@ def speed_readings(
 
     crowded = (
         placed.where(F.col("_own") & (F.col("copies") > spread_above))
-        .select("uniqueId", slices.SLICE)
+        .select(F.col("uniqueId").alias("_id"), F.col(slices.SLICE).alias("_in"))
         .distinct()
     )
-    in_crowded = placed.join(crowded, ["uniqueId", slices.SLICE], "left_semi")
+    # NULL ids and NULL times are groups of their own, as in the windows.
+    same = F.col("uniqueId").eqNullSafe(F.col("_id")) & F.col(slices.SLICE).eqNullSafe(
+        F.col("_in"))
+    in_crowded = placed.join(crowded, same, "left_semi")
     portion = F.explode(F.sequence(F.lit(0), F.expr(f"(copies - 1) div {spread_above}")))
     begin = F.col("portion") * spread_above
     end = F.least(F.col("copies"), begin + spread_above) - 1
