@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -83,6 +83,15 @@ def tag_disposition(
     )
 
 
+def observe_dispositions(tagged: DataFrame, observation: Observation | str) -> DataFrame:
+    """Count records and ``Ok`` ones on the way, without a pass of their own."""
+    return tagged.observe(
+        observation,
+        F.count(F.lit(1)).alias("records"),
+        F.count_if(F.col("result") == "Ok").alias("ok"),
+    )
+
+
 def preprocess(df: DataFrame, spec: str | DataFrame) -> DataFrame:
     """The record hook ahead of the analytics: filter, then blank classes."""
     return remove_non_measurements(matches_filter(df, spec))

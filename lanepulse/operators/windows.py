@@ -20,7 +20,7 @@ LONG_SECONDS = 10 * 60
 # Slices of 24 look-backs: at most one row in 24 is copied into the next one.
 SLICE_FACTOR = 24
 # Copies of one instant written by one task; more are spread over tasks.
-SPREAD_ABOVE = 1_000_000
+SPREAD_ABOVE = 100_000
 
 INPUT = ("uniqueId", "recordTimestamp", "speed", "bezettingsgraad")
 

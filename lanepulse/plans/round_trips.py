@@ -110,7 +110,7 @@ def published_events(spark, d):
     """Flat events published as JSON records -> the typed input."""
     path = storage.work_folder(spark, "published")
     events = A.flat_events(spark, d).transform(reshape.normalize_time)
-    files.publish_events(events, path, group=0)
+    files.publish_events(events, path)
     return cleaning.parse_events(spark.read.text(path))
 
 

@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 from lanepulse import schemas as S
 from lanepulse.operators import output, stations
 
-PUBLISH_GROUP = 100
-
-
 def land_json(df: DataFrame, path: str, mode: str = "append") -> None:
     """Snapshot stations as JSON, next to the name of their source file.
 
@@ -27,14 +24,16 @@ def land_raw(documents: DataFrame, path: str, mode: str = "append") -> None:
     documents.write.mode(mode).parquet(path)
 
 
-def publish_events(df: DataFrame, path: str, group: int = PUBLISH_GROUP, mode="append") -> None:
-    """Flat events as JSON records, at most ``group`` records per file.
+def publish_events(
+    df: DataFrame, path: str, group: int | None = None, mode: str = "append"
+) -> None:
+    """Flat events as JSON records.
 
-    The original sender puts 100 records per call. A file per 100 records
-    suits tests; pass ``group=0`` to leave file sizes to Spark.
+    ``group`` limits the records per file, as a sender that puts groups of 100
+    would. It is no part of the meaning; by default Spark sets the file sizes.
     """
     writer = df.select(F.to_json(F.struct(*df.columns)).alias("value")).write.mode(mode)
-    if group:
+    if group is not None:
         writer = writer.option("maxRecordsPerFile", group)
     writer.text(path)
 

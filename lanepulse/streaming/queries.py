@@ -75,6 +75,18 @@ def stream_speed_profile(
     )
 
 
+def observe_arrivals(sdf: DataFrame, name: str = "arrivals") -> DataFrame:
+    """Count readings and untimed ones per batch; the query's progress shows them.
+
+    Readings behind the watermark show there as ``numRowsDroppedByWatermark``.
+    """
+    return sdf.observe(
+        name,
+        F.count(F.lit(1)).alias("readings"),
+        F.count_if(F.col("recordTimestamp").isNull()).alias("untimed"),
+    )
+
+
 def stream_previous_speed(sdf: DataFrame, **options) -> DataFrame:
     """Each reading next to the one before it, continuously."""
     return windows.previous_speed(stream_readings(stream_speed_profile(sdf, **options)))

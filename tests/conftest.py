@@ -10,9 +10,10 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = (
-        SparkSession.builder.master("local[4]").appName("tests")
+        SparkSession.builder.master("local[8]").appName("tests")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.driver.extraJavaOptions", "-XX:TieredStopAtLevel=1")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.maxMetadataStringLength", "2000")

@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from lanepulse import schemas as S
@@ -65,6 +66,14 @@ def test_disposition_payload_is_the_cleaned_event(spark):
         "unieke_id": "1", "voertuigsnelheid_harmonisch_klasse2": "80"}
 
 
+def test_dispositions_are_counted_on_the_way(spark):
+    df = flat(spark, [event("1", "80"), event("2", "252"), event("3", "90")])
+    seen = Observation("dispositions")
+    tagged = cleaning.tag_disposition(df.withColumn("recordId", F.col("unieke_id")), "*")
+    assert cleaning.observe_dispositions(tagged, seen).count() == 3
+    assert seen.get == {"records": 3, "ok": 2}
+
+
 @pytest.mark.parametrize("record,expected", [
     ({"unieke_id": "12", "tijd_waarneming": 1588320667}, (12, 1588320667)),
     ({"unieke_id": 12, "tijd_waarneming": "1588320667"}, (12, 1588320667)),

@@ -106,7 +106,7 @@ def test_events_jsonl_with_corrupt_lines(spark, tmp_path):
 
 def test_publish_groups(spark, tmp_path):
     df = spark.range(250).selectExpr("cast(id as string) AS unieke_id").coalesce(1)
-    files.publish_events(df, str(tmp_path / "p"))
+    files.publish_events(df, str(tmp_path / "p"), group=100)
     parts = list((tmp_path / "p").glob("part-*"))
     assert len(parts) == 3
     assert spark.read.text(str(tmp_path / "p")).count() == 250

@@ -76,6 +76,16 @@ def test_late_and_untimed_rows_are_dropped(spark, tmp_path):
     assert sorted(r.speed for r in found.collect()) == [80, 90, 100]
 
 
+def test_arrivals_are_counted(spark, tmp_path):
+    sdf = stream_of(spark, tmp_path, [(1, None, 1, 1), (1, X.START + 0.0, 1, 1)])
+    query = queries.start(
+        queries.observe_arrivals(sdf), lambda df, i: df.write.format("noop").mode("append").save(),
+        str(tmp_path / "c"), trigger=None)
+    query.awaitTermination()
+    metrics = query.recentProgress[0].observedMetrics["arrivals"]
+    assert (metrics.readings, metrics.untimed) == (2, 1)
+
+
 def test_sinks_end_as_the_batch_does(spark, tmp_path):
     speeds = [120, 30, 20, 10, 10, 90, 120, 120]
     rows = X.sequence(speeds, step=240.0) + X.sequence([10, 10, 60], sensor=5, step=400.0)
