@@ -84,7 +84,6 @@ def previous_in_slices(
     """
     within = Window.partitionBy(*keys, slice_col).orderBy(*order)
     df = df.withColumns({
-        "_value": value,
         "_inner": F.lag(value).over(within),
         "_first": F.row_number().over(within) == 1,
         "_last": F.lead(F.lit(1)).over(within).isNull(),
@@ -95,6 +94,6 @@ def previous_in_slices(
     group = F.when(~edge, F.col(slice_col))
     df = df.withColumns({"_edge": edge, "_group": group})
     across = Window.partitionBy(*keys, "_edge", "_group").orderBy(*order)
-    previous = F.when(F.col("_first"), F.lag("_value").over(across)).otherwise(F.col("_inner"))
+    previous = F.when(F.col("_first"), F.lag(value).over(across)).otherwise(F.col("_inner"))
     return df.withColumn(name, previous).drop(
-        "_value", "_inner", "_first", "_last", "_edge", "_group")
+        "_inner", "_first", "_last", "_edge", "_group")
