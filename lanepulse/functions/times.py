@@ -7,42 +7,57 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _wall_clock_seconds(c: Column) -> Column:
-    """Whole seconds since 1970-01-01T00:00:00 of a zone-less timestamp."""
-    day = F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date")).cast("long")
-    return day * 86400 + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
-
-
 def _zoneless(df: DataFrame, name: str) -> bool:
     return isinstance(df.schema[name].dataType, T.TimestampNTZType)
 
 
-def epoch_seconds(df: DataFrame, name: str) -> Column:
-    """Whole epoch seconds of ``df[name]``.
+def _wall_clock_seconds(c: str) -> str:
+    """SQL for the whole seconds since 1970-01-01T00:00:00 of a zone-less time."""
+    return (
+        f"(datediff(to_date({c}), date'1970-01-01') * 86400L"
+        f" + hour({c}) * 3600 + minute({c}) * 60 + second({c}))"
+    )
+
+
+def _wall_clock(c: str, per_second: int) -> str:
+    """SQL for the time in fractions of a second, rounded down."""
+    fraction = f"(date_part('SECOND', {c}) - second({c}))"
+    return (
+        f"({_wall_clock_seconds(c)} * {per_second}"
+        f" + cast(floor({fraction} * {per_second}) as bigint))"
+    )
+
+
+def epoch_seconds_sql(df: DataFrame, name: str) -> str:
+    """SQL for the whole epoch seconds of ``df[name]``.
 
     Zone-less timestamps are read as UTC from their parts: a cast would go
     through the session time zone and bend around clock changes.
     """
-    c = F.col(name)
-    return _wall_clock_seconds(c) if _zoneless(df, name) else F.unix_seconds(c)
+    c = f"`{name}`"
+    return _wall_clock_seconds(c) if _zoneless(df, name) else f"unix_seconds({c})"
+
+
+def epoch_micros_sql(df: DataFrame, name: str) -> str:
+    """SQL for the epoch microseconds of ``df[name]``."""
+    c = f"`{name}`"
+    return _wall_clock(c, 1_000_000) if _zoneless(df, name) else f"unix_micros({c})"
+
+
+def epoch_seconds(df: DataFrame, name: str) -> Column:
+    """Whole epoch seconds of ``df[name]``."""
+    return F.expr(epoch_seconds_sql(df, name))
 
 
 def epoch_millis(df: DataFrame, name: str) -> Column:
     """Epoch milliseconds of ``df[name]``, rounded down."""
-    c = F.col(name)
-    if not _zoneless(df, name):
-        return F.unix_millis(c)
-    fraction = F.date_part(F.lit("SECOND"), c) - F.second(c)
-    return _wall_clock_seconds(c) * 1000 + F.floor(fraction * 1000).cast("long")
+    c = f"`{name}`"
+    return F.expr(_wall_clock(c, 1000) if _zoneless(df, name) else f"unix_millis({c})")
 
 
 def epoch_micros(df: DataFrame, name: str) -> Column:
     """Epoch microseconds of ``df[name]``."""
-    c = F.col(name)
-    if not _zoneless(df, name):
-        return F.unix_micros(c)
-    fraction = F.date_part(F.lit("SECOND"), c) - F.second(c)
-    return _wall_clock_seconds(c) * 1_000_000 + (fraction * 1_000_000).cast("long")
+    return F.expr(epoch_micros_sql(df, name))
 
 
 def as_utc_instant(df: DataFrame, name: str) -> Column:

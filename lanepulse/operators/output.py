@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lanepulse import schemas as S
@@ -38,21 +38,22 @@ def enrich_location(
 
 def tag_output(df: DataFrame, output_type: str) -> DataFrame:
     """One variant of the result record: its tag, its columns, NULL elsewhere."""
-    return df.select(*_variant(df, output_type))
+    return df.selectExpr(*variant(df, output_type).values())
 
 
-def _variant(df: DataFrame, output_type: str) -> list[Column]:
+def variant(df: DataFrame, output_type: str) -> dict[str, str]:
+    """SQL of each result column of a variant, by name."""
     filled = VARIANT_COLUMNS[output_type]
-    columns = []
+    known = {f.name: f.dataType for f in df.schema.fields}
+    columns = {}
     for f in S.RESULT.fields:
         if f.name == "outputType":
-            c = F.lit(output_type)
-        elif f.name not in filled:
-            dtype = df.schema[f.name].dataType if f.name in df.columns else f.dataType
-            c = F.lit(None).cast(dtype)
+            value = f"'{output_type}'"
+        elif f.name in filled:
+            value = f.name
         else:
-            c = F.col(f.name)
-        columns.append(c.alias(f.name))
+            value = f"cast(NULL AS {known.get(f.name, f.dataType).simpleString()})"
+        columns[f.name] = f"{value} AS {f.name}"
     return columns
 
 
@@ -69,14 +70,14 @@ def traffic_output(df: DataFrame, locations: DataFrame | None = None) -> DataFra
         df = df.transform(enrich_location, locations)
     elif "location" not in df.columns:
         df = df.withColumn("location", F.lit(None).cast("string"))
-    own = [f.name for f in S.RESULT.fields if f.name not in _COMMON]
-    variants = F.array(*[
-        F.struct(*[c for c, name in zip(_variant(df, t), S.RESULT_COLUMNS) if name in own])
-        for t in S.OUTPUT_TYPES
-    ])
+    structs = []
+    for t in S.OUTPUT_TYPES:
+        own = [sql for name, sql in variant(df, t).items() if name not in _COMMON]
+        structs.append(f"struct({', '.join(own)})")
+    variants = F.expr(f"explode(array({', '.join(structs)}))")
     # Shared columns bypass the generator and so keep their partitioning.
     kept = [c for c in ("position", slices.SLICE) if c in df.columns]
-    exploded = df.select(*_COMMON, *kept, F.explode(variants).alias("_r"))
+    exploded = df.select(*_COMMON, *kept, variants.alias("_r"))
     return exploded.select(*_COMMON, *kept, "_r.*").select(*S.RESULT_COLUMNS, *kept)
 
 

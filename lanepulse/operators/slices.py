@@ -20,7 +20,7 @@ SLICE = "_slice"
 
 def slice_number(df: DataFrame, ts: str, seconds: int) -> Column:
     """Number of the slice a row lies in; NULL for rows without a time."""
-    return F.floor(times.epoch_seconds(df, ts) / F.lit(seconds))
+    return F.expr(f"floor({times.epoch_seconds_sql(df, ts)} / {seconds})")
 
 
 def with_lookback(
@@ -32,37 +32,33 @@ def with_lookback(
     false for the copies. Each slice also gets the last row before it, however
     old, so that LAG works across silent periods.
     """
-    second = times.epoch_seconds(df, ts)
-    first_slice = F.floor(second / F.lit(seconds))
-    last_slice = F.floor((second + F.lit(reach)) / F.lit(seconds))
-    placed = df.select(
-        "*",
-        first_slice.alias("_home"),
-        F.explode_outer(F.sequence(first_slice, last_slice)).alias(SLICE),
-    ).withColumn("_own", F.col("_home").eqNullSafe(F.col(SLICE)))
+    second = times.epoch_seconds_sql(df, ts)
+    home = f"floor({second} / {seconds})"
+    reached = f"floor(({second} + {reach}) / {seconds})"
+    placed = df.selectExpr(
+        "*", f"{home} AS _home", f"explode_outer(sequence({home}, {reached})) AS {SLICE}"
+    ).selectExpr(*df.columns, SLICE, f"_home <=> {SLICE} AS _own")
 
     # All columns go along, though LAG needs few: with the same columns on
     # both branches Spark reads the shuffle of ``df`` twice, not the source.
-    values = [c for c in df.columns if c not in (key, ts)]
     # Rows without a time come first, as in any ascending order.
-    age = F.coalesce(times.epoch_micros(df, ts), F.lit(-(2**63)))
+    age = f"coalesce({times.epoch_micros_sql(df, ts)}, {-(2**63) + 1}L)"
+    values = [c for c in df.columns if c not in (key, ts)]
     closing = (
-        df.withColumns({"_home": first_slice, "_age": age})
+        df.selectExpr("*", f"{home} AS _home", f"{age} AS _age")
         .groupBy(key, "_home")
         .agg(
-            F.max(ts).alias(ts),
-            *[F.max_by(c, "_age").alias(c) for c in values],
+            F.expr(f"max({ts}) AS {ts}"),
+            *[F.expr(f"max_by({c}, _age) AS {c}") for c in values],
         )
     )
-    following = Window.partitionBy(key).orderBy("_home")
-    reached = F.floor((times.epoch_seconds(df, ts) + F.lit(reach)) / F.lit(seconds))
     carried = (
-        closing.withColumn(SLICE, F.lead("_home").over(following))
-        .where(F.col(SLICE) > F.coalesce(reached, F.col(SLICE) - 1))
-        .withColumn("_own", F.lit(False))
+        closing.selectExpr(
+            *df.columns, f"lead(_home) OVER (PARTITION BY {key} ORDER BY _home) AS {SLICE}",
+            "false AS _own")
+        .where(f"{SLICE} > coalesce({reached}, {SLICE} - 1)")
     )
-    columns = [*df.columns, SLICE, "_own"]
-    return placed.select(*columns).unionByName(carried.select(*columns))
+    return placed.unionByName(carried)
 
 
 def previous_in_slices(

@@ -88,7 +88,8 @@ class TrafficSinks:
             rows = rows.withColumnRenamed("speed", "currentSpeed")
             if "position" not in rows.columns:
                 rows = rows.withColumn("position", F.lit(0).cast("long"))
-            return rows.select(*output._variant(rows, tag), F.col("position").cast("long"))
+            return rows.selectExpr(
+                *output.variant(rows, tag).values(), "cast(position AS bigint) AS position")
 
         written = (
             variant(queries.speed_change_rows(profile), S.SPEED_DIFFERENTIAL)
