@@ -114,7 +114,8 @@ def test_clean_input(spark):
 ])
 def test_observation_times(spark, new_york, text, instant, wall_clock):
     df = spark.createDataFrame([(text,)], "t string")
-    row = df.select(times.observed_epoch(F.col("t")), times.observed_epoch(F.col("t"), "wall_clock"))
+    row = df.select(
+        times.observed_epoch(F.col("t")), times.observed_epoch(F.col("t"), "wall_clock"))
     assert tuple(row.first()) == (instant, wall_clock)
     with pytest.raises(ValueError):
         times.observed_epoch(F.col("t"), "other")
