@@ -54,3 +54,10 @@ def sha256(text: Column) -> Column:
 def held_out(doc_id: Column, modulus: int = 4, held: int = 2) -> Column:
     """Whether the row is kept from learning: by the CRC-32 of the id's text."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % modulus == held, F.lit(False))
+
+
+def tokenizer(name: str) -> str:
+    """The place of a public vocabulary file, the same on all machines."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))

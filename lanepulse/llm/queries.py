@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lanepulse.llm import quality_rules
-from lanepulse.llm.common import table
+from lanepulse.llm import line_dedup, mixing, quality_rules, token_counts, url_rules
+from lanepulse.llm.common import sha256, table, tokenizer
+
+TOKEN_LIMIT = 2048
+URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"),
+             ("allow", "org/fr/"))
 
 
 def op5_quality_rules(spark, d):
@@ -18,6 +22,34 @@ def op5_quality_rules(spark, d):
         "n_letters", "n_capitals", "n_full_lines", "failures")
 
 
-QUERIES = {f.__name__: f for f in (op5_quality_rules,)}
+def op3_line_dedup(spark, d):
+    """What line dedup leaves of every document."""
+    left = line_dedup.dedup_lines(table(spark, d, "documents"))
+    return left.select("doc_id", "n_lines", "n_dropped", sha256(F.col("kept_text")).alias("kept_sha256"))
+
+
+def op7_token_counts(spark, d):
+    """Exact token counts, and the longest prefix within the limit."""
+    docs = table(spark, d, "documents").select(
+        "doc_id", "text", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"))
+    counted = token_counts.count_tokens(docs, tokenizer("word_bpe_49k.json"), limit=TOKEN_LIMIT)
+    return counted.select(
+        "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"), "cut_chars")
+
+
+def op9_url_filters(spark, d):
+    """Verdict per page: by the given rules, else by rules mined from what they judge."""
+    return url_rules.judge(table(spark, d, "pages"), URL_RULES).select(
+        "page_id", "host", "path", "rule", "verdict")
+
+
+def op10_mixing(spark, d):
+    """Words taken of each document for the target mix."""
+    return mixing.mix(table(spark, d, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op3_line_dedup, op5_quality_rules, op7_token_counts, op9_url_filters, op10_mixing,
+)}
 #: For the driver's DuckDB check; queries that SQL cannot express have none.
 ORACLE_SQL: dict[str, str] = {}
