@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lanepulse.llm import line_dedup, mixing, quality_rules, token_counts, url_rules
+from lanepulse.llm import (
+    line_dedup, mixing, quality_rules, substring_dedup, token_counts, url_rules,
+)
 from lanepulse.llm.common import sha256, table, tokenizer
 
 TOKEN_LIMIT = 2048
@@ -28,6 +30,12 @@ def op3_line_dedup(spark, d):
     return left.select("doc_id", "n_lines", "n_dropped", sha256(F.col("kept_text")).alias("kept_sha256"))
 
 
+def op6_substring_dedup(spark, d):
+    """What remains of every document without passages of earlier ones."""
+    left = substring_dedup.remove_repeats(table(spark, d, "documents").select("doc_id", "text"))
+    return left.select("doc_id", "n_words", "n_removed", sha256(F.col("kept_text")).alias("kept_sha256"))
+
+
 def op7_token_counts(spark, d):
     """Exact token counts, and the longest prefix within the limit."""
     docs = table(spark, d, "documents").select(
@@ -49,7 +57,7 @@ def op10_mixing(spark, d):
 
 
 QUERIES = {f.__name__: f for f in (
-    op3_line_dedup, op5_quality_rules, op7_token_counts, op9_url_filters, op10_mixing,
+    op3_line_dedup, op5_quality_rules, op6_substring_dedup, op7_token_counts, op9_url_filters, op10_mixing,
 )}
 #: For the driver's DuckDB check; queries that SQL cannot express have none.
 ORACLE_SQL: dict[str, str] = {}
