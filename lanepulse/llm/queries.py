@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lanepulse.llm import (
-    line_dedup, mixing, quality_rules, substring_dedup, token_counts, url_rules,
+    jaccard_join, line_dedup, mixing, quality_rules, substring_dedup, token_counts, url_rules,
 )
 from lanepulse.llm.common import sha256, table, tokenizer
 
@@ -30,6 +30,11 @@ def op3_line_dedup(spark, d):
     return left.select("doc_id", "n_lines", "n_dropped", sha256(F.col("kept_text")).alias("kept_sha256"))
 
 
+def op4_ngram_jaccard_join(spark, d):
+    """Each document's set size and the smallest document it reaches by links."""
+    return jaccard_join.similar(table(spark, d, "documents"))
+
+
 def op6_substring_dedup(spark, d):
     """What remains of every document without passages of earlier ones."""
     left = substring_dedup.remove_repeats(table(spark, d, "documents").select("doc_id", "text"))
@@ -57,7 +62,7 @@ def op10_mixing(spark, d):
 
 
 QUERIES = {f.__name__: f for f in (
-    op3_line_dedup, op5_quality_rules, op6_substring_dedup, op7_token_counts, op9_url_filters, op10_mixing,
+    op3_line_dedup, op4_ngram_jaccard_join, op5_quality_rules, op6_substring_dedup, op7_token_counts, op9_url_filters, op10_mixing,
 )}
 #: For the driver's DuckDB check; queries that SQL cannot express have none.
 ORACLE_SQL: dict[str, str] = {}
