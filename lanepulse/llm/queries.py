@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lanepulse.llm import (
-    jaccard_join, line_dedup, mixing, quality_rules, substring_dedup, token_counts, url_rules,
+    decontamination, jaccard_join, language_id, line_dedup, mixing, quality_rules, substring_dedup,
+    token_counts, url_rules,
 )
-from lanepulse.llm.common import sha256, table, tokenizer
+from lanepulse.llm.common import held_out, sha256, table, tokenizer
 
 TOKEN_LIMIT = 2048
 URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"),
@@ -24,6 +25,20 @@ def op5_quality_rules(spark, d):
         "n_letters", "n_capitals", "n_full_lines", "failures")
 
 
+def op1_benchmark_decontamination(spark, d):
+    """The benchmark items that leaked into each document."""
+    return decontamination.leaks(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+def op2_language_id(spark, d):
+    """Language of every text, learned from the rows that are not held out."""
+    docs = table(spark, d, "documents")
+    held = held_out(F.col("doc_id")).alias("held_out")
+    path = tokenizer("piece_bpe_32k.model")
+    model = language_id.fit(docs.filter(~held), path)
+    return language_id.predict(docs.select("doc_id", held, "text"), model).drop("text")
+
+
 def op3_line_dedup(spark, d):
     """What line dedup leaves of every document."""
     left = line_dedup.dedup_lines(table(spark, d, "documents"))
@@ -62,7 +77,7 @@ def op10_mixing(spark, d):
 
 
 QUERIES = {f.__name__: f for f in (
-    op3_line_dedup, op4_ngram_jaccard_join, op5_quality_rules, op6_substring_dedup, op7_token_counts, op9_url_filters, op10_mixing,
+    op1_benchmark_decontamination, op2_language_id, op3_line_dedup, op4_ngram_jaccard_join, op5_quality_rules, op6_substring_dedup, op7_token_counts, op9_url_filters, op10_mixing,
 )}
 #: For the driver's DuckDB check; queries that SQL cannot express have none.
 ORACLE_SQL: dict[str, str] = {}
