@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lanepulse.llm import (
     decontamination, jaccard_join, language_id, line_dedup, mixing, quality_rules, substring_dedup,
-    token_counts, url_rules,
+    token_counts, toxicity, url_rules,
 )
 from lanepulse.llm.common import held_out, sha256, table, tokenizer
 
@@ -65,6 +65,14 @@ def op7_token_counts(spark, d):
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"), "cut_chars")
 
 
+def op8_toxicity(spark, d):
+    """Toxicity of every text, learned from labels of rows that are not held out."""
+    docs, labels = table(spark, d, "documents"), table(spark, d, "labels")
+    grammar = toxicity.fit(docs, labels.filter(~held_out(F.col("doc_id"))))
+    held = held_out(F.col("doc_id")).alias("held_out")
+    return toxicity.score(docs.select("doc_id", held, "text"), grammar).drop("text")
+
+
 def op9_url_filters(spark, d):
     """Verdict per page: by the given rules, else by rules mined from what they judge."""
     return url_rules.judge(table(spark, d, "pages"), URL_RULES).select(
@@ -77,7 +85,8 @@ def op10_mixing(spark, d):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_benchmark_decontamination, op2_language_id, op3_line_dedup, op4_ngram_jaccard_join, op5_quality_rules, op6_substring_dedup, op7_token_counts, op9_url_filters, op10_mixing,
+    op1_benchmark_decontamination, op2_language_id, op3_line_dedup, op4_ngram_jaccard_join, op5_quality_rules, op6_substring_dedup, op7_token_counts, op8_toxicity,
+    op9_url_filters, op10_mixing,
 )}
 #: For the driver's DuckDB check; queries that SQL cannot express have none.
 ORACLE_SQL: dict[str, str] = {}
