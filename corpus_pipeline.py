@@ -1,11 +1,16 @@
-"""The corpus pipeline: filters, duplicates, leaks, and the final mix."""
+"""The corpus pipeline: quality, repeated lines, near duplicates, leaks, mix.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes and
+rereads it before the next. All but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lanepulse.llm import quality_rules
-from lanepulse.llm.common import table, written
+from lanepulse.llm import decontamination, jaccard_join, line_dedup, mixing, quality_rules
+from lanepulse.llm.common import table, words, written
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -13,7 +18,48 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.apply_policy(quality_rules.ledger(docs), "v2").select(docs.columns)
 
 
-STAGES = [("quality_rules", quality)]
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without lines that a document with a smaller id holds; no document goes."""
+    left = line_dedup.dedup_lines(docs)
+    return left.withColumns({
+        "text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long"),
+    }).select(docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group; rows with one id stay together."""
+    stays = jaccard_join.similar(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    stays = stays.select(F.col("doc_id").alias("_stays")).distinct()
+    return docs.join(stays, F.col("doc_id").eqNullSafe(F.col("_stays")), "left_semi")
+
+
+def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no benchmark item has leaked."""
+    return decontamination.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of the mix, with ``taken``, their words times repetitions, and ``repeats``.
+
+    ``repeats`` is 1.25, say, for a text that is taken once and another quarter of it.
+    """
+    keys = ("doc_id", "source", "size")
+    taken = mixing.mix(docs).filter("taken > 0").groupBy(*keys).agg(F.max("taken").alias("taken")) \
+        .withColumnsRenamed({k: f"_{k}" for k in keys})
+    sized = docs.withColumn("size", F.size(words(F.col("text"))).cast("long"))
+    on = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    return sized.join(taken, on).select(
+        *docs.columns, "taken", (F.col("taken") / F.col("size")).alias("repeats"))
+
+
+STAGES = [
+    ("quality_rules", quality),
+    ("line_dedup", lines),
+    ("ngram_jaccard_join", near_duplicates),
+    ("benchmark_decontamination", leaks),
+    ("mixing", mix),
+]
+#: Several stages cannot be put as SQL; a brute-force version is in the tests.
 ORACLE_SQL = None
 
 
