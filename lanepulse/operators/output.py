@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lanepulse import schemas as S
 from lanepulse.functions import expressions as E
+from lanepulse.functions import times
 from lanepulse.operators import slices
 
 # Source columns each variant fills; all others stay NULL.
@@ -127,6 +128,16 @@ def dashboard_rows(results: DataFrame) -> DataFrame:
         *S.RESULT_COLUMNS, "outputType_recordTimestamp")
 
 
+#: Wire form of times: nothing is rounded, and no reader's zone matters.
+TIME_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timeZone": "UTC"}
+
+
+def exact_times(results: DataFrame) -> DataFrame:
+    """Result records whose reading time is an instant (zone-less ones are UTC)."""
+    name = "originalRecordTimestamp"
+    return results.withColumn(name, times.as_utc_instant(results, name))
+
+
 def decode_results(df: DataFrame, value: str = "value") -> DataFrame:
     """JSON text or bytes of result records -> the 12 result columns."""
     return df.select(
@@ -134,5 +145,6 @@ def decode_results(df: DataFrame, value: str = "value") -> DataFrame:
 
 
 def encode_results(results: DataFrame) -> DataFrame:
-    """Result records -> one JSON text per record."""
-    return results.select(F.to_json(F.struct(*S.RESULT_COLUMNS)).alias("value"))
+    """Result records -> one JSON text per record, times as UTC with microseconds."""
+    exact = exact_times(results)
+    return exact.select(F.to_json(F.struct(*S.RESULT_COLUMNS), TIME_OPTIONS).alias("value"))

@@ -55,7 +55,7 @@ def collapse_results(results: DataFrame) -> DataFrame:
 
 def latest_state(
     results: DataFrame,
-    order: Sequence[str] = ("recordTimestamp", "position"),
+    order: Sequence[str] = ("originalRecordTimestamp", "recordTimestamp", "position"),
     slice_col: str | None = None,
 ) -> DataFrame:
     """What the state table holds after all results were written.
@@ -93,14 +93,13 @@ def current_situation(state: DataFrame) -> DataFrame:
     """One row per sensor with its items, one per variant, in fixed order.
 
     Built by conditional aggregation: a sensor can hold no more than one item
-    per variant, and no list of unknown length is collected.
+    per variant, and no list of unknown length is collected. An item whose
+    time is no number stays; it is older than any other.
     """
     item = F.struct(*state.columns)
+    at = F.coalesce(F.col("recordTimestamp").try_cast("bigint"), F.lit(-(2**63)))
     picks = [
-        F.max_by(
-            item, F.when(F.col("outputType") == t, F.col("recordTimestamp").try_cast("bigint"))
-        ).alias(t)
-        for t in S.OUTPUT_TYPES
+        F.max_by(item, F.when(F.col("outputType") == t, at)).alias(t) for t in S.OUTPUT_TYPES
     ]
     return state.groupBy("uniqueId").agg(*picks).select(
         "uniqueId", F.array_compact(F.array(*S.OUTPUT_TYPES)).alias("items"))

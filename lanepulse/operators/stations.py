@@ -56,8 +56,9 @@ def geojson_collection(cfg: DataFrame, ids: Sequence[str]) -> DataFrame:
 
     The list bounds the document: one station, one feature. A map of the whole
     network is written as one feature per line instead (``geojson_features``).
+    A station that is configured twice is two features.
     """
-    listed = filter_stations(cfg, ids).dropDuplicates(["@unieke_id"])
+    listed = filter_stations(cfg, ids)
     features = listed.select(_feature().alias("f")).agg(
         F.sort_array(F.collect_list("f")).alias("features"))
     return features.select(

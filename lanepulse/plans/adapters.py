@@ -85,33 +85,25 @@ def flat_events(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
 def snapshot_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``lineitem`` as snapshot stations: an order is a station, a line a class.
 
-    Lines 1 to 7 become classes. Each is picked by its own aggregate, so an
-    order with very many lines never gathers them in a list.
+    Every line is a ``meetdata`` entry, so a class may occur twice. Entries stand in
+    a total order (class, ship date, part, supplier, measures); the last one of a
+    class wins in the pivot. A station is one record, as long as its lines.
     """
-    entry = F.struct(
-        F.col("l_extendedprice").alias("price"),
-        F.col("l_quantity").alias("quantity"),
-        F.col("l_tax").alias("tax"),
-    )
-    lines = range(1, 8)
-    picks = [
-        F.max(F.when(F.col("l_linenumber") == n, entry)).alias(f"line{n}") for n in lines
-    ]
+    line = F.struct(
+        "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice",
+        "l_quantity", "l_tax")
     orders = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
-        F.max("l_shipdate").alias("shipped"), F.min("l_quantity").alias("occupancy"), *picks)
-
-    def measured(n: int):
-        line = F.col(f"line{n}")
-        return F.when(
-            line.isNotNull(),
-            F.struct(
-                F.lit(str(n)).alias("@klasse_id"),
-                line["quantity"].cast("int").cast("string").alias("verkeersintensiteit"),
-                F.floor(line["price"] / 1000).cast("string")
-                .alias("voertuigsnelheid_rekenkundig"),
-                F.round(line["tax"] * 100).cast("int").cast("string")
-                .alias("voertuigsnelheid_harmonisch"),
-            ),
+        F.max("l_shipdate").alias("shipped"), F.min("l_quantity").alias("occupancy"),
+        F.sort_array(F.collect_list(line)).alias("lines"))
+
+    def measured(line):
+        return F.struct(
+            line["l_linenumber"].cast("string").alias("@klasse_id"),
+            line["l_quantity"].cast("int").cast("string").alias("verkeersintensiteit"),
+            F.floor(line["l_extendedprice"] / 1000).cast("string")
+            .alias("voertuigsnelheid_rekenkundig"),
+            F.round(line["l_tax"] * 100).cast("int").cast("string")
+            .alias("voertuigsnelheid_harmonisch"),
         )
 
     clock = F.date_format("shipped", "yyyy-MM-dd'T'HH:mm:ss")
@@ -126,7 +118,7 @@ def snapshot_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("1").alias("beschikbaar"),
         F.lit("0").alias("defect"),
         F.lit("0").alias("geldig"),
-        F.array_compact(F.array(*[measured(n) for n in lines])).alias("meetdata"),
+        F.transform("lines", measured).alias("meetdata"),
         F.struct(
             F.col("occupancy").cast("int").cast("string").alias("bezettingsgraad"),
             F.lit("100").alias("beschikbaarheidsgraad"),
@@ -142,12 +134,12 @@ def station_config(spark: SparkSession, sf_dir: str) -> DataFrame:
         key.alias("@unieke_id"),
         F.concat(F.lit("H"), key, F.lit("L10")).alias("beschrijvende_id"),
         F.col("s_name").alias("volledige_naam"),
-        F.lit("A0130002").alias("Ident_8"),
-        F.lit("64").alias("lve_nr"),
-        F.lit("0,393").alias("Kmp_Rsys"),
-        F.lit("R10").alias("Rijstrook"),
-        F.lit("155843,5609").alias("X_coord_EPSG_31370"),
-        F.lit("211823,5989").alias("Y_coord_EPSG_31370"),
+        F.lit("B0070004").alias("Ident_8"),
+        F.lit("12").alias("lve_nr"),
+        F.lit("7,250").alias("Kmp_Rsys"),
+        F.lit("L20").alias("Rijstrook"),
+        F.lit("100200,5").alias("X_coord_EPSG_31370"),
+        F.lit("200100,25").alias("Y_coord_EPSG_31370"),
         F.concat(F.col("s_nationkey").cast("string"), F.lit(",5")).alias("lengtegraad_EPSG_4326"),
         F.concat(F.lit("51,"), key, F.lit("1")).alias("breedtegraad_EPSG_4326"),
     )

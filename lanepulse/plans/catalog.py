@@ -509,4 +509,4 @@ def geojson_collection(spark, d):
 def speed_ramp(spark, d):
     sensors = A.table(spark, d, "supplier").select(
         F.col("s_suppkey").cast("string").alias("unieke_id"))
-    return ramp.speed_ramp(sensors, start_ts=1_588_320_667, step=60)
+    return ramp.speed_ramp(sensors, start_ts=1_700_000_000, step=60)

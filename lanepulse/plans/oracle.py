@@ -11,18 +11,19 @@ from lanepulse import schemas as S
 _CLASSES = S.CLASSES
 
 
-def _measurements(ts: str = "ts") -> str:
+def _measurements(ts: str = "ts", sensor: str = "user_id") -> str:
     return f"""m AS (
-      SELECT event_id, CAST(user_id AS INTEGER) AS uniqueId,
+      SELECT event_id, CAST({sensor} AS INTEGER) AS uniqueId,
              CAST(floor(value) AS INTEGER) AS reading,
              CAST(json_extract_string(props, '$.k') AS INTEGER) AS occ, {ts} AS ts
       FROM events)"""
 
 
-def _flagged(short: str = "12 HOUR", long: str = "48 HOUR", ts: str = "ts") -> str:
+def _flagged(short: str = "12 HOUR", long: str = "48 HOUR", ts: str = "ts",
+             sensor: str = "user_id") -> str:
     """CTEs m (input), p (windows), q (previous), f (flags), loc, r (results)."""
     frame = "PARTITION BY uniqueId ORDER BY ts RANGE BETWEEN INTERVAL {} PRECEDING AND CURRENT ROW"
-    return f"""WITH {_measurements(ts)},
+    return f"""WITH {_measurements(ts, sensor)},
     p AS (
       SELECT event_id, uniqueId,
              CAST(trunc(avg(reading) OVER w0) AS INTEGER) AS speed,
@@ -178,18 +179,16 @@ def _typed_input() -> str:
     return ", ".join(columns)
 
 
-# lineitem as snapshot stations: the greatest (price, quantity, tax) per line.
-_LINES = """WITH best AS (
-      SELECT l_orderkey, l_linenumber, l_extendedprice AS price, l_quantity AS quantity,
-             l_tax AS tax, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
-               ORDER BY l_extendedprice DESC, l_quantity DESC, l_tax DESC) AS rn
-      FROM lineitem),
-    line AS (
+# lineitem as snapshot stations: all lines; the last of a line number in a total order.
+_LINES = """WITH line AS (
       SELECT l_orderkey, l_linenumber,
-             CAST(CAST(trunc(quantity) AS INTEGER) AS VARCHAR) AS intensity,
-             CAST(CAST(floor(price / 1000) AS BIGINT) AS VARCHAR) AS mean,
-             CAST(CAST(round(tax * 100) AS INTEGER) AS VARCHAR) AS harm
-      FROM best WHERE rn = 1),
+             CAST(CAST(trunc(l_quantity) AS INTEGER) AS VARCHAR) AS intensity,
+             CAST(CAST(floor(l_extendedprice / 1000) AS BIGINT) AS VARCHAR) AS mean,
+             CAST(CAST(round(l_tax * 100) AS INTEGER) AS VARCHAR) AS harm,
+             row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+               ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_extendedprice DESC,
+                        l_quantity DESC, l_tax DESC) AS rn
+      FROM lineitem),
     o AS (
       SELECT l_orderkey, max(l_shipdate) AS shipped,
              CAST(CAST(trunc(min(l_quantity)) AS INTEGER) AS VARCHAR) AS occupancy
@@ -206,7 +205,7 @@ def _pivot() -> str:
 
 _PIVOT_NAMES = ", ".join(c for n in _CLASSES for c in S.class_columns(n))
 _PIVOTED = f"""{_LINES},
-    pv AS (SELECT l_orderkey, {_pivot()} FROM line GROUP BY l_orderkey)"""
+    pv AS (SELECT l_orderkey, {_pivot()} FROM line WHERE rn = 1 GROUP BY l_orderkey)"""
 _SNAPSHOT_EVENTS = f"""{_PIVOTED}
     SELECT 'H' || o.l_orderkey AS beschrijvende_id, CAST(o.l_orderkey AS VARCHAR) AS unieke_id,
            '55' AS lve_nr, CAST(epoch_us(shipped) // 1000000 - 3600 AS VARCHAR) AS tijd_waarneming,
@@ -406,7 +405,7 @@ def build(allowed: str, map_stations: tuple[str, ...]) -> dict[str, str]:
                      AS speed
               FROM generate_series(0, 34) AS g(i))
             SELECT CAST(s_suppkey AS VARCHAR) AS unieke_id, CAST(step AS INTEGER) AS step,
-            CAST(1588320667 + 60 * step AS BIGINT) AS tijd_waarneming,
+            CAST(1700000000 + 60 * step AS BIGINT) AS tijd_waarneming,
             speed AS voertuigsnelheid_rekenkundig_klasse2,
             speed AS voertuigsnelheid_harmonisch_klasse2 FROM supplier CROSS JOIN steps""",
         # Round trips
@@ -414,15 +413,17 @@ def build(allowed: str, map_stations: tuple[str, ...]) -> dict[str, str]:
               CAST(count(*) AS INTEGER) AS classes FROM line GROUP BY l_orderkey)
             SELECT CAST(o.l_orderkey AS VARCHAR) AS unieke_id, classes, occupancy
             FROM o JOIN n ON o.l_orderkey = n.l_orderkey""",
-        "raw_landing": f"""{_LINES} SELECT 'xml/input/1.xml' AS name,
-            count(DISTINCT l_orderkey) AS stations, count(*) AS classes FROM line""",
+        "raw_landing": """SELECT count(DISTINCT l_orderkey) AS stations, count(*) AS classes,
+            true AS names_differ FROM lineitem""",
+        "snapshot_lines": """SELECT count(*) AS lines, count(DISTINCT l_orderkey) AS stations
+            FROM lineitem""",
         "events_jsonl": f"""{_flat_events()}
             SELECT {", ".join(S.FLAT_EVENT_COLUMNS)} FROM fe""",
         "archived_results": f"""{f}{_RESULTS} SELECT outputType, count(*) AS n,
             CAST(sum(currentSpeed) AS BIGINT) AS total,
             (SELECT count(*) FROM events) AS events FROM r GROUP BY outputType""",
-        "published_results": f"""{f}{_RESULTS}
-            SELECT * EXCLUDE (originalRecordTimestamp, event_id) FROM r""",
+        "published_results": f"{f}{_RESULTS} SELECT {_RESULT} FROM r",
+        "archived_records": f"{f}{_RESULTS} SELECT {_RESULT} FROM r",
         "alert_table": f"""{f}{_NOTES}, n AS (SELECT *, row_number() OVER (
             PARTITION BY uniqueId ORDER BY version DESC) AS rn FROM alert_feed)
             SELECT uniqueId, alertIndicator, loc FROM n WHERE rn = 1""",
@@ -431,13 +432,17 @@ def build(allowed: str, map_stations: tuple[str, ...]) -> dict[str, str]:
             outputType || '_' || recordTimestamp AS outputType_recordTimestamp FROM r""",
         "station_config_xml": """SELECT CAST(s_suppkey AS VARCHAR) AS unieke_id,
             'H' || s_suppkey || 'L10' AS beschrijvende_id, s_name AS volledige_naam,
-            'A0130002' AS Ident_8, '64' AS lve_nr, '0,393' AS Kmp_Rsys, 'R10' AS Rijstrook,
-            '155843,5609' AS X_coord_EPSG_31370, '211823,5989' AS Y_coord_EPSG_31370,
+            'B0070004' AS Ident_8, '12' AS lve_nr, '7,250' AS Kmp_Rsys, 'L20' AS Rijstrook,
+            '100200,5' AS X_coord_EPSG_31370, '200100,25' AS Y_coord_EPSG_31370,
             s_nationkey || ',5' AS lengtegraad_EPSG_4326,
             '51,' || s_suppkey || '1' AS breedtegraad_EPSG_4326 FROM supplier""",
         "cleared_table": f"""{f}{_STATE} SELECT outputType, count(*) AS n FROM state
             WHERE outputType <> 'TRAFFIC_JAM' GROUP BY outputType""",
         # Streams
+        "stream_null_sensor": f"""{_flagged(sensor="CASE WHEN user_id % 10 <> 3 THEN user_id END")}
+            SELECT {_PROFILE} FROM p""",
+        "stream_outputs_agree": """SELECT outputType, 2 * (SELECT count(*) FROM events) AS records,
+            0 AS differ FROM (VALUES ('SPEED_DIFFERENTIAL'), ('TRAFFIC_JAM'), ('SPEED_AVG')) AS t(outputType)""",
         "stream_jam_change_points": f"""{f}{_JAM_POINTS} SELECT uniqueId,
             originalRecordTimestamp, speed AS currentSpeed, trafficJamIndicator
             FROM jam_points""",
@@ -456,6 +461,7 @@ def build(allowed: str, map_stations: tuple[str, ...]) -> dict[str, str]:
         "stream_previous_speed": "previous_speed",
         "stream_traffic_output": "traffic_output",
         "stream_state_table": "latest_state",
+        "stream_restart": "latest_state",
         "stream_notifications": "notification_table",
     }
     sql.update({name: sql[source] for name, source in same_as.items()})

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lanepulse import schemas as S
 from lanepulse import storage
+from lanepulse.functions import times
 from lanepulse.operators import cleaning, output, reshape, state, stations
 from lanepulse.plans import adapters as A
 from lanepulse.plans import traffic
@@ -44,6 +45,12 @@ def _results(spark, d) -> DataFrame:
     return traffic.traffic_results(A.measurements(spark, d), A.locations(spark, d), **A.WINDOWS)
 
 
+def _with_wall_clock(results: DataFrame) -> DataFrame:
+    """The zone-less UTC time of the source tables."""
+    return results.withColumn("originalRecordTimestamp", times.utc_wall_clock(
+        F.unix_micros("originalRecordTimestamp")))
+
+
 @query
 def snapshot_xml(spark, d):
     """XML snapshots -> flat events."""
@@ -64,10 +71,8 @@ def snapshot_json(spark, d):
              .alias("meetpunt"))
         .select(F.struct("meetpunt").alias("miv"))
     )
-    # One document per line: the multi-line reader takes one per file.
-    documents.write.json(path)
-    lines = spark.read.schema(S.SNAPSHOT_DOCUMENT).json(path)
-    return reshape.to_flat_events(snapshots.stations_of(lines))
+    documents.write.option("maxRecordsPerFile", 1).json(path)
+    return reshape.to_flat_events(snapshots.read_snapshot_json(spark, path, glob="part-*"))
 
 
 @query
@@ -92,9 +97,17 @@ def raw_landing(spark, d):
     _write_snapshots(A.snapshot_stations(spark, d), path)
     files.land_raw(snapshots.read_raw_documents(spark, path, glob=None, ingest_ms=1), kept)
     documents = spark.read.parquet(kept)
-    return documents.groupBy("name").agg(
+    return documents.agg(
         F.sum(F.size(F.split("document", "<meetpunt ")) - 1).alias("stations"),
-        F.sum(F.size(F.split("document", "<meetdata ")) - 1).alias("classes"))
+        F.sum(F.size(F.split("document", "<meetdata ")) - 1).alias("classes"),
+        (F.countDistinct("name") == F.countDistinct("source_file")).alias("names_differ"))
+
+
+@query
+def snapshot_lines(spark, d):
+    """Every line of the source is an entry of a station."""
+    return A.snapshot_stations(spark, d).agg(
+        F.sum(F.size("meetdata")).alias("lines"), F.count("*").alias("stations"))
 
 
 @query
@@ -120,7 +133,15 @@ def published_results(spark, d):
     path = storage.work_folder(spark, "stream")
     files.publish_results(_results(spark, d), path)
     decoded = event_sources.read_results(spark.read.parquet(path))
-    return decoded.drop("originalRecordTimestamp")
+    return _with_wall_clock(decoded)
+
+
+@query
+def archived_records(spark, d):
+    """Result records to the archive, read again, all columns."""
+    path = storage.work_folder(spark, "results-archive")
+    files.archive_results(_results(spark, d), path)
+    return _with_wall_clock(event_sources.read_results_archive(spark, path))
 
 
 @query

@@ -11,7 +11,7 @@ from lanepulse import schemas as S
 from lanepulse import storage
 from lanepulse.functions import times
 from lanepulse.plans import adapters as A
-from lanepulse.sources import tables
+from lanepulse.sources import events, tables
 from lanepulse.streaming import batches, queries
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,13 +34,13 @@ def measurement_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     static = A.table(spark, sf_dir, "events")
     newest = static.agg(F.max("ts")).first()[0]
-    events = spark.readStream.schema(static.schema).option(
+    source = spark.readStream.schema(static.schema).option(
         "pathGlobFilter", "events.parquet").parquet(sf_dir)
-    rows = events.select(
+    rows = source.select(
         F.col("user_id").cast("int").alias("uniqueId"),
         F.floor("value").cast("int").alias("speed"),
         F.get_json_object("props", "$.k").cast("int").alias("bezettingsgraad"),
-        times.as_utc_instant(events, "ts").alias("recordTimestamp"),
+        times.as_utc_instant(source, "ts").alias("recordTimestamp"),
         (F.col("ts") == F.lit(newest).cast("timestamp_ntz")).alias("newest"),
     )
     row = F.struct("uniqueId", "speed", "bezettingsgraad", "recordTimestamp")
@@ -137,4 +137,41 @@ def stream_state_table(spark, d):
 def stream_notifications(spark, d):
     """The notification table as the streaming sinks leave it."""
     folder = _run_sinks(spark, d).folder("notifications")
-    return spark.read.schema(S.NOTIFICATION).parquet(f"{folder}/batch=*")
+    return spark.read.schema(S.NOTIFICATION).parquet(f"{folder}/run=*/batch=*")
+
+
+@query
+def stream_restart(spark, d):
+    """The state table after two queries, each with its own checkpoint, one after the other."""
+    folder = storage.work_folder(spark, "stream-restart")
+    sinks = batches.TrafficSinks(f"{folder}/out", A.locations(spark, d))
+    for half in (0, 1):
+        rows = measurement_stream(spark, d).where(
+            (F.col("uniqueId") == -1) | (F.pmod("uniqueId", F.lit(2)) == half))
+        profile = queries.stream_speed_profile(rows, delay=f"{DELAY_SECONDS} seconds", **WINDOWS)
+        queries.start(profile, sinks, f"{folder}/checkpoint-{half}", trigger=None).awaitTermination()
+    return tables.scan_state(spark, sinks.folder("state"))
+
+
+@query
+def stream_null_sensor(spark, d):
+    """Readings of some sensors without their id: a group of their own, as in batch."""
+    stream = measurement_stream(spark, d).withColumn(
+        "uniqueId", F.when(F.pmod("uniqueId", F.lit(10)) != 3, F.col("uniqueId")))
+    profile = queries.stream_speed_profile(stream, delay=f"{DELAY_SECONDS} seconds", **WINDOWS)
+    rows = queries.stream_readings(profile).select(
+        "uniqueId", "speed", "bezettingsgraad", "recordTimestamp", "avgSpeed3Minutes",
+        "avgSpeed10Minutes", "originalRecordTimestamp")
+    return _with_wall_clock(run(rows, "stream-null-sensor"))
+
+
+@query
+def stream_outputs_agree(spark, d):
+    """Both outputs of the batches, live and archived, hold the same records."""
+    sinks = _run_sinks(spark, d)
+    live = events.read_results(
+        spark.read.parquet(f"{sinks.folder('stream')}/run=*/batch=*"))
+    kept = events.read_results_archive(spark, f"{sinks.folder('archive')}/run=*/batch=*")
+    both = live.withColumn("n", F.lit(1)).unionByName(kept.withColumn("n", F.lit(-1)))
+    return both.groupBy(*S.RESULT_COLUMNS).agg(F.sum("n").alias("n"), F.count("*").alias("rows")).groupBy(
+        "outputType").agg(F.sum("rows").alias("records"), F.count_if(F.col("n") != 0).alias("differ"))

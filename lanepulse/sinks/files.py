@@ -50,7 +50,8 @@ def publish_results(results: DataFrame, path: str, mode: str = "append") -> None
 
 def archive_results(results: DataFrame, path: str, mode: str = "append") -> None:
     """Result records as JSON lines, for later ad-hoc queries."""
-    results.select(*S.RESULT_COLUMNS).write.mode(mode).json(path)
+    output.exact_times(results).select(*S.RESULT_COLUMNS).write.mode(mode).options(
+        **output.TIME_OPTIONS).json(path)
 
 
 def write_notifications(notes: DataFrame, path: str, mode: str = "append") -> None:
@@ -84,7 +85,10 @@ def dump_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).json(path)
 
 
-def register_views(spark: SparkSession, events_path: str, results_path: str) -> None:
-    """Archived events and results as the views ``raw_events`` and ``results``."""
-    spark.read.schema(S.FLAT_EVENT).json(events_path).createOrReplaceTempView("raw_events")
-    spark.read.schema(S.RESULT).json(results_path).createOrReplaceTempView("results")
+def register_views(
+    spark: SparkSession, events_path: str, results_path: str,
+    events_view: str = "raw_events", results_view: str = "results",
+) -> None:
+    """Archived events and results as temporary views of the session."""
+    spark.read.schema(S.FLAT_EVENT).json(events_path).createOrReplaceTempView(events_view)
+    spark.read.schema(S.RESULT).json(results_path).createOrReplaceTempView(results_view)

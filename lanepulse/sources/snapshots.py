@@ -84,7 +84,10 @@ def read_raw_documents(
     ingest_ms: int | None = None,
     prefix: str = "xml/input/",
 ) -> DataFrame:
-    """Whole documents as they arrived, under an ingest-time name."""
+    """Whole documents as they arrived, under an ingest-time name.
+
+    Documents of one run share the time; a hash of the source file tells them apart.
+    """
     docs = (
         _reader(spark, stream, glob, max_files)
         .option("wholetext", True)
@@ -92,8 +95,9 @@ def read_raw_documents(
         .withColumn("source_file", F.col("_metadata.file_path"))
     )
     ms = times.now_epoch_millis(ingest_ms)
+    source = F.substring(F.md5("source_file"), 1, 12)
     return docs.select(
-        F.concat(F.lit(prefix), ms.cast("string"), F.lit(".xml")).alias("name"),
+        F.concat(F.lit(prefix), ms.cast("string"), F.lit("-"), source, F.lit(".xml")).alias("name"),
         ms.alias("ingest_ms"),
         "source_file",
         F.col("value").alias("document"),

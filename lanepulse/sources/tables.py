@@ -26,10 +26,10 @@ def scan_keyed(
 
     ``before`` asks for the newest version older than the given one.
     """
-    known = [v for v in storage.versions(spark, path) if before is None or v < before]
+    known = [v for v in storage.version_list(spark, path) if before is None or v.number < before]
     if not known:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{path}/v={known[-1]}")
+    return spark.read.schema(schema).parquet(f"{path}/{known[-1].folder}")
 
 
 def scan_state(spark: SparkSession, path: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from typing import NamedTuple
 
 from pyspark.sql import SparkSession
 
@@ -28,7 +29,19 @@ def _path(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def versions(spark: SparkSession, path: str) -> list[int]:
+class Version(NamedTuple):
+    """A version folder: its number, and the run and batch that wrote it."""
+
+    number: int
+    run: str
+    batch: int | None
+
+    @property
+    def folder(self) -> str:
+        return f"v={self.number}" if self.batch is None else f"v={self.number}.{self.run}.{self.batch}"
+
+
+def version_list(spark: SparkSession, path: str) -> list[Version]:
     """Finished versions below ``path``, oldest first."""
     p, fs = _path(spark, path)
     if not fs.exists(p):
@@ -37,8 +50,15 @@ def versions(spark: SparkSession, path: str) -> list[int]:
     for status in fs.listStatus(p):
         name = status.getPath().getName()
         if name.startswith("v=") and exists(spark, f"{path}/{name}/_SUCCESS"):
-            found.append(int(name[2:]))
-    return sorted(found)
+            number, _, writer = name[2:].partition(".")
+            run, _, batch = writer.rpartition(".")
+            found.append(Version(int(number), run, int(batch) if batch else None))
+    return sorted(found, key=lambda v: v.number)
+
+
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the finished versions below ``path``, oldest first."""
+    return [v.number for v in version_list(spark, path)]
 
 
 def exists(spark: SparkSession, path: str) -> bool:

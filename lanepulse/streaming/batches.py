@@ -7,7 +7,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lanepulse import schemas as S
@@ -21,7 +21,8 @@ BatchFn = Callable[[DataFrame, int], None]
 
 def write_quarantine(df: DataFrame, path: str, batch_id: int, error: str) -> None:
     """Failed rows as JSON lines with the error that hit them."""
-    df.withColumn("error", F.lit(error)).write.mode("overwrite").json(f"{path}/batch={batch_id}")
+    df.withColumn("error", F.lit(error)).write.mode("overwrite").json(
+        f"{path}/run={run_of(df.sparkSession)}/batch={batch_id}")
 
 
 def with_dead_letter(fn: BatchFn, path: str, retries: int = 2) -> BatchFn:
@@ -48,12 +49,18 @@ def split_corrupt(events: DataFrame, required: tuple[str, ...] = ("unieke_id",))
     return events.where(~bad), events.where(bad)
 
 
+def run_of(spark: SparkSession) -> str:
+    """The id of the streaming query whose batch this is; it lives in its checkpoint."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
+
+
 @dataclass(frozen=True)
 class TrafficSinks:
     """Writes each batch of ``stream_speed_profile`` to all sinks below ``root``.
 
-    Append-only outputs go to ``batch=<id>`` folders and keyed tables to a
-    version per batch, so a replayed batch overwrites itself.
+    Append-only outputs go to ``run=<query>/batch=<id>`` folders and keyed tables
+    to a version per batch, so a replayed batch overwrites itself, and a query
+    with a new checkpoint adds to what earlier ones left.
     """
 
     root: str
@@ -61,7 +68,9 @@ class TrafficSinks:
 
     def folder(self, name: str, batch_id: int | None = None) -> str:
         base = f"{self.root.rstrip('/')}/{name}"
-        return base if batch_id is None else f"{base}/batch={batch_id}"
+        if batch_id is None:
+            return base
+        return f"{base}/run={run_of(self.locations.sparkSession)}/batch={batch_id}"
 
     def __call__(self, profile: DataFrame, batch_id: int) -> None:
         # Stateful rows are computed once and then feed every sink.
@@ -96,21 +105,23 @@ class TrafficSinks:
             .unionByName(variant(queries.jam_change_rows(profile), S.TRAFFIC_JAM))
             .unionByName(variant(profile, S.SPEED_AVG))
         )
-        newest = state.latest_per_key(written, S.STATE_KEYS, ["recordTimestamp", "position"])
+        newest = state.latest_per_key(
+            written, S.STATE_KEYS, ["originalRecordTimestamp", "position"])
         tables.write_state(
-            profile.sparkSession, self.folder("state"), output.to_state_item(newest), batch_id)
+            profile.sparkSession, self.folder("state"), output.to_state_item(newest), batch_id,
+            run_of(profile.sparkSession))
 
     def _alerts(self, profile: DataFrame, batch_id: int) -> None:
         feed = jam_feed(profile)
         alerts = feed.select(
-            "uniqueId", "recordTimestamp",
+            "uniqueId", "recordTimestamp", "originalRecordTimestamp",
             F.col("new.trafficJamIndicator").cast("string").alias("alertIndicator"),
             F.col("new.loc").alias("loc"),
         )
-        newest = state.latest_per_key(alerts, S.ALERT_KEYS, "recordTimestamp")
+        newest = state.latest_per_key(alerts, S.ALERT_KEYS, "originalRecordTimestamp")
         tables.write_alerts(
             profile.sparkSession, self.folder("alerts"),
-            newest.select(*S.ALERT.fieldNames()), batch_id)
+            newest.select(*S.ALERT.fieldNames()), batch_id, run_of(profile.sparkSession))
         notes = changes.notifications(alert_feed(feed))
         files.write_notifications(notes, self.folder("notifications", batch_id), "overwrite")
 
@@ -135,7 +146,7 @@ def jam_feed(profile: DataFrame) -> DataFrame:
     )
     return rows.select(
         F.col("uniqueId").cast("string").alias("uniqueId"),
-        "recordTimestamp", old.alias("old"), new.alias("new"))
+        "recordTimestamp", "originalRecordTimestamp", old.alias("old"), new.alias("new"))
 
 
 def alert_feed(feed: DataFrame) -> DataFrame:

@@ -21,6 +21,10 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 # Shipped with the query itself, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+# Key of the readings without a sensor, which are a group of their own, as in
+# batch. No sensor has it: ids are 32-bit. (NULL keys get mixed with others here.)
+NO_SENSOR = 2**40
+
 # Rows per emitted frame.
 CHUNK = 10_000
 
@@ -101,13 +105,14 @@ class SpeedProcessor(StatefulProcessor):
     def handleInputRows(
         self, key, rows: Iterator[pd.DataFrame], timerValues
     ) -> Iterator[pd.DataFrame]:
+        sensor = None if key[0] == NO_SENSOR else int(key[0])
         frames = list(rows)
         new = frames[0] if len(frames) == 1 else pd.concat(frames)
         order = np.argsort(new["us"].to_numpy())
 
         def arrived(name: str) -> np.ndarray:
-            # Sums are NULL where nothing was counted.
-            return np.nan_to_num(new[name].to_numpy(np.float64))[order].astype(np.int64)
+            # Sums are NULL where nothing was counted; no detour over floats.
+            return new[name].astype("Int64").fillna(0).to_numpy(np.int64)[order]
 
         stored = self.state.get()
         seen = stored is not None
@@ -135,7 +140,7 @@ class SpeedProcessor(StatefulProcessor):
             jam = self._jam(short[i], occupancy[i])
             change = self._change(speed[i], before)
             out.append((
-                int(key[0]), speed[i], occupancy[i], int(at), short[i], long[i], before,
+                sensor, speed[i], occupancy[i], int(at), short[i], long[i], before,
                 jam, change, int(copies), jam_ms, jam_speed, jam_flag, diff_flag,
             ))
             if jam != jam_flag:

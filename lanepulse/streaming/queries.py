@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from lanepulse import schemas as S
 from lanepulse.functions import times
 from lanepulse.operators import output, windows
-from lanepulse.streaming.processor import PROFILE, SpeedProcessor
+from lanepulse.streaming.processor import NO_SENSOR, PROFILE, SpeedProcessor
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
@@ -60,8 +60,9 @@ def stream_speed_profile(
     instants = windows.collapse_instants(timed)
     return (
         instants.withColumn("us", F.unix_micros("ts"))
-        .drop("ts")
-        .groupBy("uniqueId")
+        .withColumn("sensor", F.coalesce(F.col("uniqueId").cast("long"), F.lit(NO_SENSOR)))
+        .drop("ts", "uniqueId")
+        .groupBy("sensor")
         .transformWithStateInPandas(
             SpeedProcessor(short, long, low, high, threshold),
             outputStructType=PROFILE,

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import random
 
-START = 1_588_320_667
+START = 1_700_000_007
 
 # Golden run: one sensor, occupancy 6, one reading per second.
-GOLDEN_SPEEDS = [120, 120, 90, 40, 10, 10, 30, 60, 120, 120, 120]
-GOLDEN_AVERAGES = [120, 120, 110, 92, 76, 65, 60, 60, 66, 72, 76]
-GOLDEN_PREVIOUS = [120, 120, 120, 90, 40, 10, 10, 30, 60, 120, 120]
+GOLDEN_SPEEDS = [100, 100, 70, 35, 15, 15, 40, 75, 110, 110, 110]
+GOLDEN_AVERAGES = [100, 100, 90, 76, 64, 55, 53, 56, 62, 67, 70]
+GOLDEN_PREVIOUS = [100, 100, 100, 70, 35, 15, 15, 40, 75, 110, 110]
 GOLDEN_CHANGE = [0, 0, -1, -1, -1, 0, 1, 1, 1, 0, 0]
 
 
@@ -22,7 +22,7 @@ def measurements(spark, rows):
         "timestamp_micros(cast(seconds * 1000000 as bigint)) AS recordTimestamp")
 
 
-def sequence(speeds, sensor=957, occupancy=6, step=1.0, start=START):
+def sequence(speeds, sensor=812, occupancy=6, step=1.0, start=START):
     return [(sensor, start + step * i, s, occupancy) for i, s in enumerate(speeds)]
 
 

@@ -16,7 +16,7 @@ def _versions(spark, rows):
         rows, "uniqueId int, recordTimestamp long, trafficJamIndicator int, loc string")
 
 
-def _locations(spark, ids=(957,)):
+def _locations(spark, ids=(812,)):
     return spark.createDataFrame([(i, f"place {i}") for i in ids], "id int, locatie string")
 
 
@@ -135,11 +135,11 @@ def test_every_sensor_ends_with_three_items(spark):
     m = X.measurements(spark, X.sequence(X.GOLDEN_SPEEDS))
     items = traffic.traffic_state(m, _locations(spark))
     assert sorted(r.outputType for r in items.collect()) == sorted(S.OUTPUT_TYPES)
-    speed = state.lookup(items, S.SPEED_DIFFERENTIAL, "957", "speedDiffIndicator", 0)
+    speed = state.lookup(items, S.SPEED_DIFFERENTIAL, "812", "speedDiffIndicator", 0)
     assert speed.first().recordTimestamp == str((X.START + 9) * 1000)
     assert state.lookup(items, S.SPEED_DIFFERENTIAL, "1", "speedDiffIndicator", 0).count() == 0
     situation = state.current_situation_json(items).collect()
-    assert len(situation) == 1 and situation[0].entry.startswith('{"957":[{"uniqueId":"957"')
+    assert len(situation) == 1 and situation[0].entry.startswith('{"812":[{"uniqueId":"812"')
 
 
 def test_latest_per_key_and_counts(spark):

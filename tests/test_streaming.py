@@ -93,7 +93,7 @@ def test_sinks_end_as_the_batch_does(spark, tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()
     sdf = stream_of(spark, folder, rows[:3], rows[3:7], rows[7:], [CLOSING])
-    loc = spark.createDataFrame([(957, "Kruibeke")], "id int, locatie string")
+    loc = spark.createDataFrame([(812, "Noordbrug")], "id int, locatie string")
     sinks = batches.TrafficSinks(str(tmp_path / "out"), loc)
     queries.start(
         queries.stream_speed_profile(sdf, delay="5 minutes"), sinks,
@@ -109,7 +109,7 @@ def test_sinks_end_as_the_batch_does(spark, tmp_path):
     assert both[0] == both[1] and both[0]
 
     alerts = {tuple(r) for r in tables.scan_alerts(spark, sinks.folder("alerts")).collect()}
-    assert alerts == {("957", "0", "Kruibeke"), ("5", "0", None)}
+    assert alerts == {("812", "0", "Noordbrug"), ("5", "0", None)}
 
     archived = events.read_results_archive(spark, sinks.folder("archive"))
     published = events.read_results(spark.read.parquet(sinks.folder("stream")))
@@ -127,8 +127,8 @@ def test_snapshot_files_to_results(spark, tmp_path):
     for minute, speed in enumerate((120, 60, 30)):
         snapshot_file(
             folder, f"{minute}.xml",
-            station_xml(30, [(2, 1, speed, speed)], f"2020-04-30T16:5{minute}:00+01:00"),
-            station_xml(31, [(2, 0, 0, 252)], f"2020-04-30T16:5{minute}:00+01:00"))
+            station_xml(30, [(2, 1, speed, speed)], f"2023-11-15T08:3{minute}:00+01:00"),
+            station_xml(31, [(2, 0, 0, 252)], f"2023-11-15T08:3{minute}:00+01:00"))
         os.utime(folder / f"{minute}.xml", (1_600_000_000 + minute,) * 2)
     (folder / "skip.tmp").write_text("half written")
 

@@ -28,9 +28,9 @@ def test_golden_run(spark):
 
 
 @pytest.mark.parametrize("speeds,change,jams", [
-    ([120, 60, 30], -1, [0, 0, 0]),
-    ([30, 60, 90], 1, [1, 0, 0]),
-    ([120, 120], 0, [0, 0]),
+    ([110, 70, 45], -1, [0, 0, 0]),
+    ([25, 70, 95], 1, [1, 0, 0]),
+    ([88, 88], 0, [0, 0]),
 ])
 def test_short_sequences(spark, speeds, change, jams):
     df = windows.speed_readings(X.measurements(spark, X.sequence(speeds)))
