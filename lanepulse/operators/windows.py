@@ -19,8 +19,6 @@ SHORT_SECONDS = 3 * 60
 LONG_SECONDS = 10 * 60
 # Slices of 24 look-backs: at most one row in 24 is copied into the next one.
 SLICE_FACTOR = 24
-# Copies of one instant written by one task; more are spread over tasks.
-SPREAD_ABOVE = 100_000
 
 INPUT = ("uniqueId", "recordTimestamp", "speed", "bezettingsgraad")
 
@@ -141,38 +139,14 @@ def speed_readings(
     short: int = SHORT_SECONDS,
     long: int = LONG_SECONDS,
     slice_seconds: int | None = None,
-    spread_above: int = SPREAD_ABOVE,
 ) -> DataFrame:
     """All sliding values, one row per input row.
 
-    Instants with more than ``spread_above`` copies are cut into portions and
-    shuffled before they are repeated. Without such instants the second branch
-    is found empty at run time and skipped.
+    Copies are given back last, row by row as they are written, so an instant
+    with very many of them needs no memory for them.
     """
     placed = _placed(df, key, ts, speed, occupancy, short, long, slice_seconds)
-    usual = repeat_copies(_profile(placed, short, long).where(F.col("copies") <= spread_above))
-
-    crowded = (
-        placed.where(F.col("_own") & (F.col("copies") > spread_above))
-        .select(F.col("uniqueId").alias("_id"), F.col(slices.SLICE).alias("_in"))
-        .distinct()
-    )
-    # NULL ids and NULL times are groups of their own, as in the windows.
-    same = F.col("uniqueId").eqNullSafe(F.col("_id")) & F.col(slices.SLICE).eqNullSafe(
-        F.col("_in"))
-    in_crowded = placed.join(crowded, same, "left_semi")
-    portion = F.explode(F.sequence(F.lit(0), F.expr(f"(copies - 1) div {spread_above}")))
-    begin = F.col("portion") * spread_above
-    end = F.least(F.col("copies"), begin + spread_above) - 1
-    spread = (
-        _profile(in_crowded, short, long)
-        .where(F.col("copies") > spread_above)
-        .withColumn("portion", portion)
-        .repartition("uniqueId", "originalRecordTimestamp", "portion")
-        .withColumn("position", F.explode(F.sequence(begin, end)))
-        .drop("portion")
-    )
-    return usual.unionByName(_as_readings(spread))
+    return repeat_copies(_profile(placed, short, long))
 
 
 def _simple_window(

@@ -78,8 +78,7 @@ def speed_profile_minutes(spark, d):
 @query
 def speed_profile_ties(spark, d):
     """Observation times cut to days: many readings share an instant."""
-    options = {**A.WINDOWS, "spread_above": 2}
-    return windows.speed_readings(_daily(spark, d), **options).select(
+    return windows.speed_readings(_daily(spark, d), **A.WINDOWS).select(
         *PROFILE_COLUMNS, "previousSpeed")
 
 

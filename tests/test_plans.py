@@ -44,16 +44,11 @@ def test_windows_scan_once_and_never_partition_by_sensor_alone(measurements):
     # The frames and LAG share one Window; the other one has a row per slice.
     assert len(re.findall(r"[-+] Window \[", text)) == 2
     assert re.search(r"Window \[lag\(speed.*RangeFrame.*\[uniqueId#\d+, _slice#\d+L\]", text)
-    # The branch for crowded instants was found empty and dropped.
-    assert "portion" not in text
 
 
-def test_crowded_instants_are_spread(spark):
+def test_crowded_instants_keep_all_copies(spark):
     rows = [(1, float(X.START), 50, 5)] * 50 + X.sequence([10, 20, 30])
-    df = windows.speed_readings(X.measurements(spark, rows), spread_above=10)
-    text = final_plan(df)
-    assert re.search(r"hashpartitioning\(uniqueId#\d+, originalRecordTimestamp#\d+, portion", text)
-    assert df.count() == 53
+    assert windows.speed_readings(X.measurements(spark, rows)).count() == 53
 
 
 def test_partial_aggregation_comes_before_the_first_shuffle(measurements):
