@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -57,30 +58,32 @@ def _processor(path: str):
 
 def piece_counts(rows: DataFrame, path: str, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
     """(lang, piece, n): how often each language's words hold each piece."""
-    def counted(seen: Counter) -> pa.RecordBatch:
-        keys = list(seen)
-        pieces: Counter = Counter()
-        for start in range(0, len(keys), 20_000):
-            some = keys[start:start + 20_000]
-            for (lang, word), ids in zip(some, _processor(path).encode([w for _, w in some], num_threads=1),
-                                         strict=True):
-                n = seen[lang, word]
-                for i in ids:
-                    pieces[lang, i] += n
-        lang, piece = zip(*pieces, strict=True)
+    def counted(seen: dict[str, Counter]) -> pa.RecordBatch:
+        langs, ids, counts = [], [], []
+        for lang, words in seen.items():
+            pieces: Counter = Counter()
+            keys = list(words)
+            for start in range(0, len(keys), 20_000):
+                some = keys[start:start + 20_000]
+                for word, found in zip(some, _processor(path).encode(some, num_threads=1), strict=True):
+                    n = words[word]
+                    for i in found:
+                        pieces[i] += n
+            langs += [lang] * len(pieces)
+            ids += pieces.keys()
+            counts += pieces.values()
         return pa.RecordBatch.from_arrays(
-            [pa.array(lang), pa.array(piece, pa.int64()), pa.array(list(pieces.values()), pa.int64())],
+            [pa.array(langs, pa.string()), pa.array(ids, pa.int64()), pa.array(counts, pa.int64())],
             names=["lang", "piece", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
+        seen: dict[str, Counter] = {}
         for batch in batches:
-            for lang, text in zip(batch.column(0), batch.column(1), strict=True):
-                name = lang.as_py()
-                seen.update((name, w) for w in words_of(text.as_py()))
-                if len(seen) > REMEMBERED:
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                seen.setdefault(lang, Counter()).update(words_of(text.as_py()))
+                if sum(map(len, seen.values())) > REMEMBERED:
                     yield counted(seen)
-                    seen = Counter()
+                    seen = {}
         if seen:
             yield counted(seen)
 
@@ -113,54 +116,93 @@ def fit(rows: DataFrame, path: str, lang_col: str = "lang", text_col: str = "tex
 
 
 class Scorer:
-    """Log probabilities of words, summed over segmentations."""
+    """Log probabilities of words, summed over segmentations, many words at a time."""
+
+    #: Of this Python worker: the scorer in use, so that it serves several tasks.
+    current: tuple[str, Scorer] | None = None
+
+    @classmethod
+    def shared(cls, token: str, model: dict) -> Scorer:
+        if cls.current is None or cls.current[0] != token:
+            cls.current = (token, cls(model))
+        return cls.current[1]
 
     def __init__(self, model: dict):
         self.langs = model["langs"]
-        self.pieces = {p: tuple(math.exp(x) for x in logs) for p, logs in model["pieces"].items()}
-        self.rare = tuple(math.exp(x) for x in model["rare"])
-        self.longest = max(map(len, self.pieces), default=1)
+        self.rare = np.exp(np.array(model["rare"], float))
+        self.chance = np.exp(np.array(list(model["pieces"].values()), float).reshape(-1, len(self.langs)))
+        # pieces as a tree: an edge is (node, letter), a node may end a piece
+        nodes: dict[tuple[int, str], int] = {}
+        ends: list[int] = [-1]
+        for row, piece in enumerate(model["pieces"]):
+            node = 0
+            for letter in piece:
+                if (node, letter) not in nodes:
+                    nodes[node, letter] = len(ends)
+                    ends.append(-1)
+                node = nodes[node, letter]
+            ends[node] = row
+        self.ends = np.array(ends)
+        keys = np.array([(n << 21) + ord(c) for n, c in nodes], np.int64)
+        order = np.argsort(keys)
+        self.keys = np.append(keys[order], np.int64(2**62))
+        self.to = np.append(np.array(list(nodes.values()), np.int64)[order], 0)
         self.forget()
 
     def forget(self) -> None:
         self.place: dict[str, int] = {}
-        self.rows: list[tuple[float, ...]] = []
         self.table = np.zeros((0, len(self.langs)))
 
-    def word(self, word: str) -> tuple[float, ...]:
-        marked = _START + word
-        n = len(marked)
-        forward = [None] * (n + 1)
-        forward[0] = (1.0,) * len(self.langs)
-        get = self.pieces.get
-        for i in range(n):
-            here = forward[i]
-            if here is None:
-                continue
-            for j in range(i + 1, min(n, i + self.longest) + 1):
-                p = get(marked[i:j])
-                if p is None:
-                    if j > i + 1:
-                        continue
-                    p = self.rare
-                step = tuple(a * b for a, b in zip(here, p, strict=True))
-                forward[j] = step if forward[j] is None else tuple(
-                    a + b for a, b in zip(forward[j], step, strict=True))
-        return tuple(math.log(x) if x > 0 else -1e4 for x in forward[n])
+    def words(self, words: list[str]) -> np.ndarray:
+        """A row of log probabilities for each word."""
+        out = np.zeros((len(words), len(self.langs)))
+        by_length = sorted(range(len(words)), key=lambda i: len(words[i]))
+        for k in range(0, len(words), 4096):
+            some = by_length[k:k + 4096]
+            out[some] = self._forward([_START + words[i] for i in some])
+        return out
+
+    def _forward(self, marked: list[str]) -> np.ndarray:
+        length = np.array([len(w) for w in marked])
+        most = int(length[-1])
+        letters = np.frombuffer("".join(w.ljust(most, "\0") for w in marked).encode("utf-32-le"), np.uint32)
+        letters = letters.reshape(len(marked), most).astype(np.int64)
+        # forward[i]: the sum over all ways to cut the first i letters
+        forward = np.zeros((most + 1, len(marked), len(self.langs)))
+        forward[0] = 1.0
+        for i in range(most):
+            at = np.flatnonzero(length > i)
+            node = np.zeros(len(at), np.int64)
+            for j in range(i, most):
+                key = (node << 21) + letters[at, j]
+                found = np.searchsorted(self.keys, key)
+                known = self.keys[found] == key
+                row = self.ends[self.to[found]]
+                ends = known & (row >= 0)
+                forward[j + 1][at[ends]] += forward[i][at[ends]] * self.chance[row[ends]]
+                if j == i:  # a letter that is no piece
+                    forward[j + 1][at[~ends]] += forward[i][at[~ends]] * self.rare
+                at, node = at[known], self.to[found[known]]
+                if not len(at):
+                    break
+        last = forward[length, np.arange(len(marked))]
+        return np.log(np.maximum(last, 1e-300))
 
     def texts(self, texts: list[str | None]) -> Iterator[tuple[str, float]]:
-        for text in texts:
-            words = words_of(text)
+        for k in range(0, len(texts), 256):
+            yield from self._texts([words_of(t) for t in texts[k:k + 256]])
+
+    def _texts(self, split: list[list[str]]) -> Iterator[tuple[str, float]]:
+        if self.langs:
+            if len(self.place) > REMEMBERED:
+                self.forget()
+            new = list(set().union(*split).difference(self.place))
+            self.place.update(zip(new, range(len(self.place), len(self.place) + len(new)), strict=True))
+            self.table = np.concatenate([self.table, self.words(new)])
+        for words in split:
             if not words or not self.langs:
                 yield UNKNOWN, 0.0
                 continue
-            if len(self.place) > REMEMBERED:
-                self.forget()
-            for w in set(words).difference(self.place):
-                self.place[w] = len(self.rows)
-                self.rows.append(self.word(w))
-            if len(self.table) < len(self.rows):
-                self.table = np.concatenate([self.table, np.array(self.rows[len(self.table):])])
             total = self.table[np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))].sum(axis=0)
             best = int(np.argmax(total))
             yield self.langs[best], float(1 / np.exp(total - total[best]).sum())
@@ -171,9 +213,10 @@ def predict(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
     base = docs.drop("lang_pred", "score")
     sent = base.sparkSession.sparkContext.broadcast(model)
     names = [*base.columns, "lang_pred", "score"]
+    token = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(sent.value)
+        scorer = Scorer.shared(token, sent.value)
         for batch in batches:
             done = list(scorer.texts(batch.column(text_col).to_pylist()))
             yield pa.RecordBatch.from_arrays([

@@ -229,7 +229,7 @@ def test_language_scorer_sums_all_segmentations():
     model = {"langs": ["x"], "pieces": {p: (math.log(v),) for p, v in logs.items()}, "rare": (math.log(1e-6),)}
     scorer = language_id.Scorer(model)
     expected = 0.2 * 0.25 + 0.1 + 1e-6 * (0.3 * 0.25 + 0.15)  # the start mark alone is unknown
-    assert math.isclose(scorer.word("ab")[0], math.log(expected))
+    assert math.isclose(scorer.words(["b", "ab"])[1][0], math.log(expected))
 
 
 def test_language_id(spark, docs, no_docs, odd_docs):
