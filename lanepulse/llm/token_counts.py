@@ -30,12 +30,17 @@ _SLICE = 2_000_000
 #: Marks that the vocabulary splits off a word of plain letters.
 _MARKS = ".,;:!?"
 
-_counters: dict[str, ChunkCounter] = {}
-
-
 class ChunkCounter:
     """Counts of distinct chunks, from the library, remembered per worker."""
 
+    shared_by_path: dict[str, ChunkCounter] = {}
+
+    @classmethod
+    def shared(cls, path: str) -> ChunkCounter:
+        if path not in cls.shared_by_path:
+            cls.shared_by_path[path] = cls(path)
+        return cls.shared_by_path[path]
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -105,9 +110,7 @@ def count_tokens(docs: DataFrame, path: str, text_col: str = "text", limit: int
     kept = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c not in names))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if path not in _counters:
-            _counters[path] = ChunkCounter(path)
-        counter = _counters[path]
+        counter = ChunkCounter.shared(path)
         for batch in batches:
             totals, cuts, ends, sums = [], [], [], []
             for texts in _slices(batch.column(text_col)):
