@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,15 +18,33 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LAST_ID = 2**63 - 1
 
 
+def importable(spark: SparkSession) -> None:
+    """Lets Python workers import this package from where the driver found it.
+
+    Needed where the package is neither installed nor below the working directory.
+    """
+    root, workers = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    known = [p for p in workers.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        workers["PYTHONPATH"] = os.pathsep.join([*known, root])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, purpose: str) -> DataFrame:
-    """``df`` as a table in the shared folder: cuts lineage, survives lost executors."""
-    path = work_folder(df.sparkSession, purpose)
+def written(df: DataFrame, purpose: str, free: bool = False) -> DataFrame:
+    """``df`` as a table in the shared folder: cuts lineage, survives lost executors.
+
+    Spark drops the shuffle files behind the table when the driver's JVM collects its
+    garbage, which it rarely needs to. ``free`` asks for that, after large shuffles.
+    """
+    spark, schema, path = df.sparkSession, df.schema, work_folder(df.sparkSession, purpose)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    if free:
+        spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(schema).parquet(path)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
