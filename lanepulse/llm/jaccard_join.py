@@ -3,8 +3,9 @@
 Sets of up to ``x`` shingles are light: each lists the hashes of its subsets of
 the size that a partner must share, so equal hashes are links and nothing is
 verified. Larger sets are heavy: a pair of them must share one of the first
-``n - ceil(t n) + 1`` shingles in a common order, so only those are posted to
-inverted lists, and the lists are scanned. The order puts the most frequent
+``n - ceil(t n) + 1`` shingles in a common order, so only those, and a tenth more,
+are posted to inverted lists, and the lists are scanned. Sets of which others post
+too few shingles are ruled out by count. The order puts the most frequent
 shingles last (a bounded list of them, of which only the efficiency depends).
 ``x`` is the boundary with the least estimated cost, from the numbers of sets of
 each small size.
@@ -64,6 +65,10 @@ class Threshold:
     def prefix(self, n):
         return n - -(-self.num * n // self.den) + 1
 
+    def posted(self, n):
+        """The prefix and a tenth more: what is posted, so that lists can rule sets out."""
+        return np.minimum(n, self.prefix(n) + n // 10)
+
     def partners(self, n: int) -> range:
         return range(-(-self.num * n // self.den), self.den * n // self.num + 1)
 
@@ -160,7 +165,7 @@ def _new_sets(seen: set, values: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def postings(source: DataFrame, length: int, limit: Threshold, least: int, common) -> DataFrame:
-    """(shingle, doc): the prefixes of sets with at least ``least`` shingles."""
+    """(shingle, doc, rank): the first shingles of sets with at least ``least`` of them."""
     def run(batches):
         seen: set = set()
         often = common.value
@@ -169,16 +174,48 @@ def postings(source: DataFrame, length: int, limit: Threshold, least: int, commo
             new = _new_sets(seen, values, first)
             new = new[size[new] >= least]
             wanted = np.zeros(len(size), np.int64)
-            wanted[new] = limit.prefix(size[new])
+            wanted[new] = limit.posted(size[new])
             late = np.isin(values, often) if len(often) else np.zeros(len(values), bool)
             text = np.repeat(np.arange(len(size)), size)
             order = np.lexsort((late, text))  # stable: by hash within
-            take = np.arange(len(values)) - first[text] < wanted[text]
+            rank = np.arange(len(values)) - first[text]
+            take = rank < wanted[text]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(values[order][take].view(np.int64)), doc.take(pa.array(text[take]))],
-                names=["shingle", "doc"])
+                [pa.array(values[order][take].view(np.int64)), doc.take(pa.array(text[take])),
+                 pa.array(rank[take].astype(np.int32))], names=["shingle", "doc", "rank"])
+
+    return source.mapInArrow(run, "shingle long, doc long, rank int")
+
 
-    return source.mapInArrow(run, "shingle long, doc long")
+def may_link(n: int, shared: np.ndarray, limit: Threshold) -> bool:
+    """Whether a set of ``n`` shingles can link, given which of its posted ones others post.
+
+    A partner of ``m`` shingles lacks at most ``n - o`` of them, ``o`` being the overlap
+    they need. It has ``m - o`` shingles of its own at most, so the first ``posted(m) -
+    (m - o)`` of this set come before the end of what the partner posted; those of them
+    that the partner has are posted by both.
+    """
+    m = np.arange(limit.partners(n).start, limit.partners(n).stop)
+    overlap = limit.overlap(n, m)
+    known = np.minimum(limit.posted(n), limit.posted(m) - (m - overlap))
+    alone = known - np.searchsorted(np.sort(shared), known)
+    return bool((alone <= n - overlap).any())
+
+
+def _possible(entries: DataFrame, sizes: DataFrame, limit: Threshold) -> DataFrame:
+    """(node, n): the nodes of (node, rank) entries that can link at all.
+
+    A node with sets of several sizes stays.
+    """
+    def run(batches):
+        for batch in batches:
+            ranks = batch.column("ranks")
+            keep = [low < n or may_link(n, r.values.to_numpy(), limit) for n, low, r in zip(
+                batch.column("n").to_pylist(), batch.column("low").to_pylist(), ranks, strict=True)]
+            yield batch.select(["node", "n"]).filter(pa.array(keep, pa.bool_()))
+
+    per_node = entries.groupBy("node").agg(F.collect_list("rank").alias("ranks")).join(sizes, "node")
+    return per_node.select("node", "n", "low", "ranks").mapInArrow(run, "node long, n long")
 
 
 def subset_tags(n: int, most: int, limit: Threshold) -> list[tuple[int, int, int]]:
@@ -250,19 +287,19 @@ def light_links(keys: DataFrame) -> DataFrame:
 def _verified(meetings: DataFrame, limit: Threshold) -> DataFrame:
     """Links between the members and the guests of each table of sets.
 
-    ``meetings``: (place, salt, guest, node, shingles). Links that connect nothing
+    ``meetings``: (place, salt, node, host, guest, shingles). Links that connect nothing
     new within a task are left out.
     """
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
-        guest = table.column("guest").to_numpy(zero_copy_only=False).astype(bool)
+        host, guest = (table.column(c).to_numpy().astype(bool) for c in ("host", "guest"))
         node = table.column("node").to_numpy()
         lists = table.column("shingles").combine_chunks()
         lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
         first = lists.offsets.to_numpy()
         values = lists.values.to_numpy()
         size = np.diff(first)
-        members = np.flatnonzero(~guest)
+        members = np.flatnonzero(host)
         owner = np.repeat(np.arange(len(members)), size[members])
         held = np.concatenate([values[first[i]:first[i + 1]] for i in members]) \
             if len(members) else np.zeros(0, np.int64)
@@ -292,23 +329,33 @@ def _verified(meetings: DataFrame, limit: Threshold) -> DataFrame:
         a, b = zip(*found, strict=True) if found else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return meetings.groupBy("place", "salt").applyInArrow(run, "a long, b long")
+    columns = ("place", "salt", "node", "host", "guest", "shingles")
+    return meetings.select(*columns).groupBy("place", "salt").applyInArrow(run, "a long, b long")
 
 
-def _met(members: DataFrame, guests: DataFrame) -> DataFrame:
-    """A row for each member at each table of its chunk, and for each guest at one.
+def _seats(members: DataFrame, guests: DataFrame) -> DataFrame:
+    """(place, salt, node, host, guest): which sets meet, before any set is moved.
 
-    A chunk whose guests are too many for a task gets several tables.
+    A row for each member (place, node, n) at each table of its chunk, and for each
+    guest at one. A chunk whose guests are too many for a task gets several tables.
     """
-    tables = guests.groupBy("place").agg(
-        F.ceil(F.sum(F.size("shingles")) / F.lit(MEETING)).cast("int").alias("tables"))
-    host = members.join(tables, "place").select(
-        "place", F.explode(F.sequence(F.lit(0), F.col("tables") - 1)).alias("salt"),
-        F.lit(False).alias("guest"), "node", "shingles")
+    tables = written(guests.groupBy("place").agg(
+        F.ceil(F.sum("n") / F.lit(MEETING)).cast("int").alias("tables")), "join-tables")
+    hosts = members.join(tables, "place").select(
+        "place", F.explode(F.sequence(F.lit(0), F.col("tables") - 1)).alias("salt"), "node",
+        F.lit(True).alias("host"), F.lit(False).alias("guest"))
     seated = guests.join(tables, "place").select(
-        "place", F.pmod(F.xxhash64(F.lit(1), "node"), F.col("tables")).cast("int").alias("salt"),
-        F.lit(True).alias("guest"), "node", "shingles")
-    return host.unionByName(seated)
+        "place", F.pmod(F.xxhash64(F.lit(1), "node"), F.col("tables")).cast("int").alias("salt"), "node",
+        F.lit(False).alias("host"), F.lit(True).alias("guest"))
+    return hosts.unionByName(seated).groupBy("place", "salt", "node").agg(
+        F.max("host").alias("host"), F.max("guest").alias("guest"))
+
+
+def _headed(entries: DataFrame) -> DataFrame:
+    """Entries of lists with several nodes, with the smallest node of the list."""
+    heads = written(entries.groupBy("shingle").agg(F.min("node").alias("head"), F.max("node").alias("high"))
+                    .filter("head < high").drop("high"), "join-heads")
+    return entries.join(heads, "shingle")
 
 
 def heavy_links(source: DataFrame, signed: DataFrame, classes: DataFrame, length: int,
@@ -318,21 +365,24 @@ def heavy_links(source: DataFrame, signed: DataFrame, classes: DataFrame, length
     common = spark.sparkContext.broadcast(frequent(source, length))
     posted = postings(source, length, limit, least, common)
     lists = written(posted.groupBy("shingle").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
-                    .filter("low < high").select("shingle"), "join-lists")
+                    .filter("low < high").select("shingle"), "join-lists", free=True)
     # classes: (doc, node) of documents that are copies of a smaller one
     entries = written(
         posted.join(lists, "shingle").join(classes, "doc", "left")
-        .select("shingle", F.coalesce("node", "doc").alias("node")).distinct(), "join-entries")
-    heads = written(entries.groupBy("shingle").agg(F.min("node").alias("head"), F.max("node").alias("high"))
-                    .filter("head < high").drop("high"), "join-heads")
-    entries = written(entries.join(heads, "shingle"), "join-families")
+        .select("shingle", F.coalesce("node", "doc").alias("node"), "rank").distinct(), "join-entries", free=True)
+    entries = written(_headed(entries).drop("head"), "join-shared")
+    sizes = signed.groupBy(F.col("doc").alias("node")).agg(F.max("n").alias("n"), F.min("n").alias("low"))
+    # documents that share a passage with others, but not enough, leave here
+    possible = written(_possible(entries, sizes, limit), "join-possible")
+    prefix = F.expr(f"n - ({limit.num} * n + {limit.den} - 1) div {limit.den} + 1")
+    entries = entries.join(possible, "node").filter(F.col("rank") < prefix).select("shingle", "node").distinct()
+    entries = written(_headed(written(entries, "join-prefixes")), "join-families")
 
     # a node's family is the smallest head of its lists; families are cut into chunks
-    sizes = signed.groupBy(F.col("doc").alias("node")).agg(F.max("n").alias("n"))
-    family = entries.groupBy("node").agg(F.min("head").alias("family")).join(sizes, "node")
+    family = entries.groupBy("node").agg(F.min("head").alias("family")).join(possible, "node")
     chunks = family.groupBy("family").agg(F.ceil(F.sum("n") / F.lit(CHUNK)).cast("int").alias("chunks"))
     nodes = written(family.join(chunks, "family").select(
-        "node", "family", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int").alias("chunk")), "join-nodes")
+        "node", "n", "family", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int").alias("chunk")), "join-nodes")
     place = F.struct("family", "chunk")
 
     def run(batches):
@@ -341,13 +391,13 @@ def heavy_links(source: DataFrame, signed: DataFrame, classes: DataFrame, length
                 pa.array(first.astype(np.int32)), pa.array(values.view(np.int64)))], names=["node", "shingles"])
 
     kept = source.join(nodes.select(F.col("node").alias("doc")), "doc")
-    sets = written(kept.select("doc", "t").mapInArrow(run, "node long, shingles array<long>")
-                   .join(nodes, "node"), "join-sets")
-    members = sets.select(place.alias("place"), "node", "shingles")
+    sets = written(kept.select("doc", "t").mapInArrow(run, "node long, shingles array<long>"),
+        "join-sets", free=True)
+    members = nodes.select(place.alias("place"), "node", "n")
 
-    host = members.filter("place.chunk = 0")
-    guests = sets.select(F.struct("family", F.lit(0).alias("chunk")).alias("place"), "node", "shingles")
-    near = written(_verified(_met(host, guests), limit), "join-near")
+    guests = nodes.select(F.struct("family", F.lit(0).alias("chunk")).alias("place"), "node", "n")
+    seats = _seats(members.filter("place.chunk = 0"), guests)
+    near = written(_verified(seats.join(sets, "node"), limit), "join-near", free=True)
 
     # lists that still hold several components: all but the largest meet the others
     found = components(near).select(F.col("a").alias("node"), F.col("b").alias("part"))
@@ -362,9 +412,9 @@ def heavy_links(source: DataFrame, signed: DataFrame, classes: DataFrame, length
         F.min("part").alias("low"), F.max("part").alias("high")), "join-places")
     guests = still.filter("part <> largest").select("shingle", "node", "part").join(there, "shingle") \
         .filter("low <> part OR high <> part").select("place", "node").distinct()
-    guests = guests.join(sets.select("node", "shingles"), "node").select("place", "node", "shingles")
-    guests = written(guests, "join-guests")
-    far = written(_verified(_met(members, guests), limit), "join-far")
+    guests = written(guests.join(nodes.select("node", "n"), "node"), "join-guests")
+    seats = written(_seats(members, guests), "join-seats")
+    far = written(_verified(seats.join(sets, "node"), limit), "join-far", free=True)
     return near.unionByName(far)
 
 
