@@ -351,6 +351,26 @@ def _seats(members: DataFrame, guests: DataFrame) -> DataFrame:
         F.max("host").alias("host"), F.max("guest").alias("guest"))
 
 
+def _seated(source: DataFrame, seats: DataFrame, length: int) -> DataFrame:
+    """``seats`` with ``shingles``: sets are made from the texts where they are needed."""
+    per_node = seats.groupBy(F.col("node").alias("doc")).agg(
+        F.collect_list(F.struct("place", "salt", "host", "guest")).alias("seats"))
+    seats_type = per_node.schema["seats"].dataType.simpleString()
+
+    def run(batches):
+        for batch in batches:
+            doc, texts, lists = (batch.column(c) for c in ("doc", "t", "seats"))
+            for a, b in shingles.slices(texts):
+                values, first = sets_of(texts.slice(a, b - a), length)
+                sets = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(values.view(np.int64)))
+                yield pa.RecordBatch.from_arrays(
+                    [doc.slice(a, b - a), lists.slice(a, b - a), sets], names=["node", "seats", "shingles"])
+
+    made = source.join(per_node, "doc").select("doc", "t", "seats").mapInArrow(
+        run, f"node long, seats {seats_type}, shingles array<long>")
+    return made.select("node", "shingles", F.explode("seats").alias("s")).select("node", "shingles", "s.*")
+
+
 def _headed(entries: DataFrame) -> DataFrame:
     """Entries of lists with several nodes, with the smallest node of the list."""
     heads = written(entries.groupBy("shingle").agg(F.min("node").alias("head"), F.max("node").alias("high"))
@@ -385,19 +405,11 @@ def heavy_links(source: DataFrame, signed: DataFrame, classes: DataFrame, length
         "node", "n", "family", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int").alias("chunk")), "join-nodes")
     place = F.struct("family", "chunk")
 
-    def run(batches):
-        for doc, values, first in _each_slice(batches, length):
-            yield pa.RecordBatch.from_arrays([doc, pa.ListArray.from_arrays(
-                pa.array(first.astype(np.int32)), pa.array(values.view(np.int64)))], names=["node", "shingles"])
-
-    kept = source.join(nodes.select(F.col("node").alias("doc")), "doc")
-    sets = written(kept.select("doc", "t").mapInArrow(run, "node long, shingles array<long>"),
-        "join-sets", free=True)
     members = nodes.select(place.alias("place"), "node", "n")
 
     guests = nodes.select(F.struct("family", F.lit(0).alias("chunk")).alias("place"), "node", "n")
     seats = _seats(members.filter("place.chunk = 0"), guests)
-    near = written(_verified(seats.join(sets, "node"), limit), "join-near", free=True)
+    near = written(_verified(_seated(source, seats, length), limit), "join-near", free=True)
 
     # lists that still hold several components: all but the largest meet the others
     found = components(near).select(F.col("a").alias("node"), F.col("b").alias("part"))
@@ -414,7 +426,7 @@ def heavy_links(source: DataFrame, signed: DataFrame, classes: DataFrame, length
         .filter("low <> part OR high <> part").select("place", "node").distinct()
     guests = written(guests.join(nodes.select("node", "n"), "node"), "join-guests")
     seats = written(_seats(members, guests), "join-seats")
-    far = written(_verified(seats.join(sets, "node"), limit), "join-far", free=True)
+    far = written(_verified(_seated(source, seats, length), limit), "join-far", free=True)
     return near.unionByName(far)
 
 
