@@ -57,12 +57,14 @@ def op6_substring_dedup(spark, d):
 
 
 def op7_token_counts(spark, d):
-    """Exact token counts, and the longest prefix within the limit."""
+    """Exact token counts, the longest prefix within the limit, a digest of all prefixes' counts."""
     docs = table(spark, d, "documents").select(
         "doc_id", "text", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"))
-    counted = token_counts.count_tokens(docs, tokenizer("word_bpe_49k.json"), limit=TOKEN_LIMIT)
+    counted = token_counts.count_tokens(
+        docs, tokenizer("word_bpe_49k.json"), limit=TOKEN_LIMIT, digest=True)
     return counted.select(
-        "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"), "cut_chars")
+        "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"), "cut_chars",
+        "prefix_sha256")
 
 
 def op8_toxicity(spark, d):

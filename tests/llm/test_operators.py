@@ -1,6 +1,7 @@
 """Each operator against the long way, and on odd and empty tables."""
 
 import collections
+import hashlib
 import math
 import re
 
@@ -159,6 +160,40 @@ def test_token_counts(spark, docs, texts, no_docs, odd_docs, library):
     assert token_counts.count_tokens(odd_docs, path).count() == 8
 
 
+def test_counts_at_every_prefix(spark, library):
+    texts = [
+        "Hello wörld, it's 12.5%", "漢字かな交じり文。" * 30, "a\tb\u3000c d" * 9, "x7F" * 40, "antidisestablishmentarianism" * 5,
+        "=-~<>" * 25, "!!<|endoftext|>ab<|startoftext|" + "z" * 60, "e\u0301o\u0308" * 40, "İstanbul" * 12, "''sll'tre" * 20,
+        "สวัสดีครับ" * 12, "don't'" + "ve" * 40, "か\u3099" * 30, "ΟΔΟΣ" * 20, "\u1112\u1161\u11ab" * 25, "", None,
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    path = tokenizer("word_bpe_49k.json")
+    counted = token_counts.count_tokens(docs, path, limit=7, prefixes=True, digest=True).withColumns({
+        "at": token_counts.tokens_at(3), "cut": token_counts.cut_at(2)})
+    found = by_id(counted)
+    for i, text in enumerate(texts):
+        text, r = text or "", found[i]
+        expected = [len(library.encode(text[:k], add_special_tokens=False).ids) for k in range(1, len(text) + 1)]
+        assert r.prefix_counts == expected, text
+        for cut, limit in ((r.cut_chars, 7), (r.cut, 2)):
+            assert cut == max([k for k, n in enumerate(expected, 1) if n <= limit], default=0)
+        assert r.at == (expected[:3] or [0])[-1]
+        packed = b"".join(n.to_bytes(4, "little") for n in expected)
+        assert r.prefix_sha256 == hashlib.sha256(packed).hexdigest()
+
+
+def test_long_text_without_blanks_is_cut_inside(spark, library):
+    text = "".join(chr(0x4E00 + 37 * k % 5000) for k in range(20_000))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    r = token_counts.count_tokens(docs, tokenizer("word_bpe_49k.json")).first()
+
+    def count(n):
+        return len(library.encode(text[:n], add_special_tokens=False).ids)
+
+    assert r.n_tokens == count(20_000) > 2048 and r.cut_chars > 0
+    assert r.cut_chars == max(n for n in range(600, 2100) if count(n) <= 2048)
+
+
 # --- mixing -----------------------------------------------------------------
 
 def test_mixing(docs, rows, no_docs, odd_docs):
