@@ -4,9 +4,12 @@ A clause (text between sentence marks, commas stay inside) is read as a string o
 ``I`` a word with an insulting stem, ``T`` a threat, ``Y`` a target, ``N`` a
 negation, ``R`` reported speech, ``.`` any other word. Five transducers read it
 side by side, composed into one machine: insult and threat emit weight, target
-raises what is emitted after it, negation lowers the next few words, reported speech
-lowers the rest of the clause. A clause's score is the sum of what it emits; a
-clause without insult or threat has no score, whatever words stand in it.
+raises what the clause emits, negation lowers the next few words, reported speech
+lowers the rest of the clause. A threat counts with a target or an insult in its
+clause only; until one comes it is held back. A clause's score is the sum of what
+it emits; a clause without insult or threat has no score, whatever words stand in it.
+A grammar that is not fitted looks for targets and insults before a word only
+(``behind``).
 
 Stems and their weights (log odds) are learned from labels, as are the three
 numbers that turn a text's clause scores into a probability. Both are fitted on a
@@ -77,6 +80,8 @@ class Grammar:
     base: float = -30.0
     strength: float = 0.0
     clauses: float = 0.0
+    #: Whether a target or insult behind a word counts as one before it; fitted grammars do so.
+    behind: bool = False
 
     def __post_init__(self):
         self.known: dict[str, tuple[str, float]] = {}
@@ -98,13 +103,26 @@ class Grammar:
         return out
 
     def clause(self, symbols: list[tuple[str, float]]) -> float:
-        """What the composed machine emits; its state is (reach of a negation, reported, target)."""
-        negated, reported, targeted, total = 0, False, False, 0.0
+        """What the composed machine emits.
+
+        Its state is (reach of a negation, reported, target, weight of threats held back,
+        weight emitted that a target would raise).
+        """
+        negated, reported, targeted, total, held, plain = 0, False, False, 0.0, 0.0, 0.0
         for kind, weight in symbols:
             if kind in "IT":
-                # a threat counts with a target or an insult only
-                total += weight * (NEGATED if negated else 1.0) * (REPORTED if reported else 1.0) \
-                    * (TARGETED if targeted else 1.0) * (0.0 if kind == "T" and not (targeted or total) else 1.0)
+                weight *= (NEGATED if negated else 1.0) * (REPORTED if reported else 1.0)
+                if targeted:
+                    total += weight * TARGETED
+                elif kind == "T" and not total:
+                    held += weight
+                else:
+                    if self.behind:
+                        weight, held = weight + held, 0.0
+                    total, plain = total + weight, plain + weight
+            elif kind == "Y" and self.behind:
+                total += held * TARGETED + plain * (TARGETED - 1.0)
+                held, plain = 0.0, 0.0
             negated = REACH if kind == "N" else max(0, negated - 1)
             reported |= kind == "R"
             targeted |= kind == "Y"
@@ -189,11 +207,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     toxic, clean = n.get(1, 0), n.get(0, 0)
     if not toxic or not clean:
         share = min(max(toxic / max(1, toxic + clean), 1e-9), 1 - 1e-9)
-        return Grammar(base=math.log(share / (1 - share)))
+        return Grammar(base=math.log(share / (1 - share)), behind=True)
     half = F.pmod(F.xxhash64("signature"), F.lit(2))
     # each half is read with the stems of the other
     read = [r for k in (0, 1) for r in _read(sample.filter(half == k), _learn(sample.filter(half != k)))]
-    return Grammar(_learn(sample), *_logistic(read))
+    return Grammar(_learn(sample), *_logistic(read), behind=True)
 
 
 def _learn(rows: DataFrame) -> dict[str, float]:
@@ -233,7 +251,7 @@ def _read(rows: DataFrame, weights: dict[str, float]) -> list[tuple[float, int,
     sent = rows.sparkSession.sparkContext.broadcast(weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Grammar(sent.value)
+        reader = Grammar(sent.value, behind=True)
         for batch in batches:
             read = [reader.read(t) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([

@@ -299,6 +299,28 @@ def test_clause_grammar():
     assert grammar.read(None) == grammar.read("") == grammar.read("foolish words") == (0.0, 0)
 
 
+def test_targets_behind_threats_and_insults_count():
+    grammar = toxicity.Grammar({"fool$": 4.0}, behind=True)
+    threat, insult = toxicity.THREAT_WEIGHT * toxicity.TARGETED, 4.0 * toxicity.TARGETED
+    assert grammar.read("i will kill you") == grammar.read("you i will kill") == (threat, 1)
+    assert grammar.read("we will hurt and beat them") == (2 * threat, 1)
+    assert grammar.read("i will kill. you") == grammar.read("i will kill it") == (0.0, 0)
+    assert grammar.read("i will not kill you") == (threat * toxicity.NEGATED, 1)
+    assert grammar.read("fool you") == grammar.read("you fool") == (insult, 1)
+    assert grammar.read("fool you and you") == (insult, 1)
+    assert grammar.read("kill the fool") == (toxicity.THREAT_WEIGHT + 4.0, 1)
+
+
+def test_fitted_grammars_read_threats_before_targets(spark):
+    rows = [(i, f"the snark number {i} v{i}w here" if i % 2 else f"number {i} v{i}w is fine", i % 2) for i in range(80)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    cases = spark.createDataFrame([(1, "i will kill you"), (2, "i will see you")], "doc_id long, text string")
+    found = by_id(toxicity.score(cases, toxicity.fit(docs, labels)))
+    assert (found[1].n_toxic_clauses, found[2].n_toxic_clauses) == (1, 0)
+    assert found[1].score > found[2].score
+
+
 def test_toxicity_learns_from_labels(spark, docs, rows, no_docs, odd_docs):
     insults = ("blorg", "snark", "vexil")
     cases = [(i, f"{' '.join(r[1].split()[:60])} {insults[i % 3]}. and {insults[(i + 1) % 3]} too", 1) if i % 3 == 0
