@@ -22,7 +22,9 @@ So each pair that could link is connected already or has been compared.
 Shingles are compared by 64 bits, sets and subsets by 128. Null and empty texts
 have no shingles and link with nothing; a text with fewer words than a shingle
 is one shingle. A null id counts as the largest, and rows with one id are one
-document with several texts. Equal rows are copies.
+document with several texts. Equal rows are copies. Where ids repeat, the join runs
+on rows, told apart by id and a 64-bit hash of the text, so every text of an id meets
+the others; for ``similar`` the rows of an id are linked to each other at the end.
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -102,9 +104,16 @@ def _prints(values: np.ndarray, salt: int) -> np.ndarray:
     return shingles.mixed(values ^ _U(0x5851F42D4C957F2D * (salt + 1) % 2**64))
 
 
+def row_key(id_col: str, text_col: str) -> tuple[Column, Column]:
+    """The document, and the row: rows with one id and one text are alike."""
+    doc = F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID))
+    return doc.alias("_doc"), F.xxhash64(F.lit(7), doc, F.coalesce(F.col(text_col), F.lit(""))).alias("_row")
+
+
 def _input(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("doc"),
-                       F.col(text_col).alias("t"))
+    """(doc, id, row, t); ``doc`` is what the join takes as the id of a set."""
+    doc, row = row_key(id_col, text_col)
+    return docs.select(doc.alias("doc"), doc.alias("id"), row.alias("row"), F.col(text_col).alias("t"))
 
 
 def _each_slice(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[tuple]:
@@ -116,15 +125,19 @@ def _each_slice(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[tupl
 
 
 def signatures(source: DataFrame, length: int) -> DataFrame:
-    """(doc, n, set_a, set_b): size and hash of each document's set."""
+    """(id, row, n, set_a, set_b): size and hash of each row's set."""
     def run(batches):
-        for doc, values, first in _each_slice(batches, length):
-            yield pa.RecordBatch.from_arrays([
-                doc, pa.array(np.diff(first)),
-                *(pa.array(_sums(_prints(values, s), first).view(np.int64)) for s in (0, 1))],
-                names=["doc", "n", "set_a", "set_b"])
+        for batch in batches:
+            texts = batch.column("t")
+            for a, b in shingles.slices(texts):
+                values, first = sets_of(texts.slice(a, b - a), length)
+                yield pa.RecordBatch.from_arrays([
+                    batch.column("id").slice(a, b - a), batch.column("row").slice(a, b - a),
+                    pa.array(np.diff(first)),
+                    *(pa.array(_sums(_prints(values, s), first).view(np.int64)) for s in (0, 1))],
+                    names=["id", "row", "n", "set_a", "set_b"])
 
-    return source.mapInArrow(run, "doc long, n long, set_a long, set_b long")
+    return source.select("id", "row", "t").mapInArrow(run, "id long, row long, n long, set_a long, set_b long")
 
 
 def frequent(source: DataFrame, length: int) -> np.ndarray:
@@ -430,24 +443,43 @@ def heavy_links(source: DataFrame, signed: DataFrame, classes: DataFrame, length
     return near.unionByName(far)
 
 
-def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 5,
-            percent: int = 80) -> DataFrame:
-    """(id, n_shingles, component_id), a row per row of ``docs``."""
+def _linked(docs: DataFrame, id_col: str, text_col: str, length: int, percent: int) -> tuple:
+    """(id, row, doc, n, ...) of each row, links between ``doc``, and whether ids repeat.
+
+    ``doc`` is the id where no id repeats, else the row.
+    """
     limit = Threshold(percent)
     source = _input(docs, id_col, text_col)
     signed = written(signatures(source, length), "join-signed")
+    repeat = not signed.groupBy("id").agg(F.count("*").alias("c")).filter("c > 1").isEmpty()
+    signed = signed.withColumn("doc", F.col("row" if repeat else "id"))
+    source = source.select(F.col("row" if repeat else "id").alias("doc"), "t")
     full = signed.filter("n > 0")
     firsts = written(full.groupBy("set_a", "set_b").agg(F.min("doc").alias("node"), F.max("doc").alias("high"))
                      .filter("node < high").drop("high"), "join-classes")
     classes = written(full.join(firsts, ["set_a", "set_b"]).filter("doc > node")
-                      .select("doc", "node").groupBy("doc").agg(F.min("node").alias("node")), "join-copies")
+                      .select("doc", "node").distinct(), "join-copies")
     most = boundary(signed, limit)
     links = classes.select(F.col("doc").alias("a"), F.col("node").alias("b"))
     if most:
         keys = written(subset_hashes(source, length, limit, most), "light-subsets")
         links = links.unionByName(light_links(keys))
     links = links.unionByName(heavy_links(source, signed, classes, length, limit, _least_heavy(most, limit)))
+    return signed, links, repeat
+
+
+def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 5,
+            percent: int = 80) -> DataFrame:
+    """(id, n_shingles, component_id), a row per row of ``docs``."""
+    signed, links, repeat = _linked(docs, id_col, text_col, length, percent)
+    if repeat:  # rows with one id are one document
+        first = signed.groupBy("id").agg(F.min("doc").alias("b"), F.max("doc").alias("high")).filter("b < high")
+        links = links.unionByName(signed.join(first, "id").select(F.col("doc").alias("a"), "b"))
     roots = components(links).withColumnsRenamed({"a": "doc", "b": "root"})
+    found = signed.join(roots, "doc", "left").withColumn("root", F.coalesce("root", "doc"))
+    if repeat:
+        found = written(found, "join-roots")
+        found = found.join(found.groupBy("root").agg(F.min("id").alias("least")), "root").withColumn("root", F.col("least"))
     kind = docs.schema[id_col].dataType
     id_type = kind if isinstance(kind, T.NumericType) else T.LongType()
     last = F.lit(LAST_ID)
@@ -455,6 +487,24 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     def shown(c):
         return F.when(c != last, c).cast(id_type)
 
-    return signed.join(roots, "doc", "left").select(
-        shown(F.col("doc")).alias(id_col), F.col("n").alias("n_shingles"),
-        shown(F.coalesce("root", "doc")).alias("component_id"))
+    return found.select(
+        shown(F.col("id")).alias(id_col), F.col("n").alias("n_shingles"), shown(F.col("root")).alias("component_id"))
+
+
+def first_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 5,
+               percent: int = 80) -> DataFrame:
+    """(_doc, _row, copies): the smallest row of each group of linked rows, by id and row key.
+
+    Rows are linked by their texts only, whatever their ids. ``copies`` rows have this
+    key; 1 for texts without shingles, which are nobody's copies.
+    """
+    signed, links, repeat = _linked(docs, id_col, text_col, length, percent)
+    roots = components(links).withColumnsRenamed({"a": "doc", "b": "root"})
+    found = signed.join(roots, "doc", "left").withColumn("root", F.coalesce("root", "doc"))
+    if not repeat:
+        return found.filter("root = doc").select(
+            F.col("id").alias("_doc"), F.col("row").alias("_row"), F.lit(1).cast("long").alias("copies"))
+    rows = found.groupBy("root", "id", "row").agg(
+        F.when(F.max("n") > 0, F.count("*")).otherwise(F.lit(1).cast("long")).alias("copies"))
+    return rows.groupBy("root").agg(F.min(F.struct("id", "row", "copies")).alias("r")).select(
+        F.col("r.id").alias("_doc"), F.col("r.row").alias("_row"), F.col("r.copies").alias("copies"))

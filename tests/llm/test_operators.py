@@ -91,6 +91,18 @@ def test_jaccard_join(docs, texts, no_docs, odd_docs):
     assert len(odd) == 8 and sorted(r.component_id for r in odd if r.doc_id == 6) == [6, 6]
 
 
+@pytest.mark.parametrize("repeated", [9, None])
+def test_texts_of_one_id_are_copies_of_different_documents(spark, repeated):
+    from conftest import prose
+
+    one, two, three = (prose(k, 120) for k in (901, 902, 903))
+    docs = spark.createDataFrame(
+        [(1, one), (2, two), (repeated, one), (repeated, two), (3, two + " more"), (4, three),
+         (repeated, three + " more")], "doc_id long, text string").repartition(3)
+    found = jaccard_join.similar(docs).collect()
+    assert len(found) == 7 and {r.component_id for r in found} == {1}
+
+
 @pytest.mark.parametrize("most", [0, 6, 12])
 def test_boundary_does_not_change_links(spark, monkeypatch, most):
     import random
