@@ -27,15 +27,25 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group; rows with one id stay together."""
-    stays = jaccard_join.similar(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    stays = stays.select(F.col("doc_id").alias("_stays")).distinct()
-    return docs.join(stays, F.col("doc_id").eqNullSafe(F.col("_stays")), "left_semi")
+    """The smallest row of each group of near copies, by id (null is last) and hash of the text.
+
+    Rows with one id, or none, are rows of their own; of exact copies under one id one stays.
+    """
+    kept = written(jaccard_join.first_rows(docs), "pipeline-first-rows")
+    key = jaccard_join.row_key("doc_id", "text")
+    joined = docs.select("*", *key).join(kept, ["_doc", "_row"])
+    single = joined.filter("copies = 1").select(docs.columns)
+    if kept.filter("copies > 1").isEmpty():
+        return single
+    alike = joined.filter("copies > 1").groupBy("_doc", "_row").agg(F.min(F.struct(*docs.columns)).alias("r"))
+    return single.unionByName(alike.select("r.*"))
 
 
 def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no benchmark item has leaked."""
-    return decontamination.clean(docs, table(spark, sf_dir, "benchmark"))
+    """Rows in which no benchmark item has leaked, whatever leaked into others with their id."""
+    key = F.concat_ws(":", F.col("doc_id").cast("string"), F.md5(F.coalesce("text", F.lit(""))))
+    keyed = docs.withColumn("_key", key)
+    return decontamination.clean(keyed, table(spark, sf_dir, "benchmark"), "_key").select(docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

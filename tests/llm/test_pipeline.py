@@ -54,3 +54,24 @@ def test_stages_keep_the_columns(spark, docs, no_docs, tmp_path):
             assert left.columns[:5] == given.columns, name
             assert left.count() <= given.count()
     assert table(spark, str(tmp_path), "benchmark").count() == 1
+
+
+def test_rows_without_an_id_are_decided_one_by_one(spark, tmp_path):
+    from conftest import prose
+
+    item = "what is the answer to this long question of the test set that nobody has seen"
+    texts = [prose(700 + k, 90) for k in range(5)]
+    rows = [(1, texts[0]), (None, texts[0]), (None, texts[1]), (None, texts[1]), (None, f"{texts[2]} {item}"),
+            (None, texts[3]), (5, texts[3] + " more"), (7, texts[4]), (7, f"{prose(800, 90)} {item}"), (None, ""), (None, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s1", len(t)) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+
+    def kept(df):
+        assert df.columns == docs.columns
+        return sorted(((r.doc_id, r.text) for r in df.collect()), key=str)
+
+    assert kept(corpus_pipeline.near_duplicates(spark, docs, str(tmp_path))) == sorted(
+        [rows[k] for k in (0, 2, 4, 6, 7, 8, 9, 10)], key=str)
+    assert kept(corpus_pipeline.leaks(spark, docs, str(tmp_path))) == sorted(
+        [r for k, r in enumerate(rows) if k not in (4, 8)], key=str)
