@@ -29,6 +29,7 @@ import json
 import os
 import re
 import unicodedata
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Distinct chunks remembered per Python worker, about 150 MB.
+#: Distinct chunks, and prefixes of them, remembered per Python worker, each about 150 MB.
 REMEMBERED = 1_000_000
 #: Characters handled at once.
 _SLICE = 2_000_000
@@ -129,11 +130,12 @@ class ChunkCounter:
         # 32-bit counts at each prefix, the last one twice: the blank behind adds nothing
         self.known: dict[str, bytes] = {}
         self.shapes: dict[bytes, bytes] = {}
+        self.starts: dict[str, int] = {}  # prefixes of many words are the same
         self.kinds: dict[str, str] = {}
         self.forget()
 
     def forget(self) -> None:
-        self.known, self.shapes = {"": bytes(4)}, {}
+        self.known, self.shapes, self.starts = {"": bytes(4)}, {}, {}
 
     @functools.cached_property
     def pieces(self) -> _Pieces:
@@ -225,7 +227,7 @@ class ChunkCounter:
         return out
 
     def _keep(self, counts: list[int]) -> bytes:
-        shape = np.array([*counts, counts[-1]], np.int32).tobytes()
+        shape = array("i", [*counts, counts[-1]]).tobytes()
         return self.shapes.setdefault(shape, shape)
 
     def learn(self, chunks: set[str]) -> None:
@@ -234,9 +236,11 @@ class ChunkCounter:
         known = self.known
         parts = {c: self.parts(c) for c in chunks if c not in known}
         new = {p for pair in parts.values() for p in pair if p and p not in known}
-        # prefixes of many words are the same
-        starts = list({p[:k] for p in new for k in range(1, len(p) + 1)})
-        total = dict(zip(starts, self._totals(starts), strict=True))
+        if len(self.starts) > REMEMBERED:
+            self.starts = {}
+        total = self.starts
+        starts = list({p[:k] for p in new for k in range(1, len(p) + 1)} - total.keys())
+        total.update(zip(starts, self._totals(starts), strict=True))
         for p in new:
             known[p] = self._keep([total[p[:k]] for k in range(1, len(p) + 1)])
         for c, (a, b) in parts.items():
