@@ -149,14 +149,18 @@ class Grammar:
 
 
 def _signature(texts: pa.Array) -> list[int]:
-    """The smallest hash of four words in each text: mostly the same for copies."""
+    """The smallest hash of four words in each text, of all words if there are fewer.
+
+    Mostly the same for copies.
+    """
     out = []
     for a, b in shingles.slices(texts):
         words = shingles.split(texts.slice(a, b - a), lower=True)
         value, fits = shingles.windows(words, 4)
+        whole = shingles.spans(words, words.first[:-1], words.first[1:])
         for k in range(b - a):
             own = value[words.first[k]:words.first[k + 1]][fits[words.first[k]:words.first[k + 1]]]
-            out.append(int(own.min().view(np.int64)) if len(own) else k)
+            out.append(int((own.min() if len(own) else whole[k]).view(np.int64)))
     return out
 
 

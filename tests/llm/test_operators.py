@@ -333,6 +333,16 @@ def test_fitted_grammars_read_threats_before_targets(spark):
     assert found[1].score > found[2].score
 
 
+def test_signatures_of_short_texts_are_of_their_words():
+    import pyarrow as pa
+
+    texts = ["one two", "three", "One two", "a b c d", "", None, "one two"]
+    some = toxicity._signature(pa.array(texts))
+    turned = toxicity._signature(pa.array(texts[::-1]))
+    assert some == turned[::-1] and some[0] == some[2] == some[6] and some[4] == some[5]
+    assert len(set(some)) == 4
+
+
 def test_toxicity_learns_from_labels(spark, docs, rows, no_docs, odd_docs):
     insults = ("blorg", "snark", "vexil")
     cases = [(i, f"{' '.join(r[1].split()[:60])} {insults[i % 3]}. and {insults[(i + 1) % 3]} too", 1) if i % 3 == 0
