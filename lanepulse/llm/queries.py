@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lanepulse.llm import (
-    decontamination, jaccard_join, language_id, line_dedup, mixing, quality_rules, substring_dedup,
-    token_counts, toxicity, url_rules,
+    decontamination, fingerprints, hard_negatives, jaccard_join, language_id, line_dedup, mixing, quality_rules,
+    spelling, substring_dedup, token_counts, toxicity, url_rules,
 )
 from lanepulse.llm.common import held_out, sha256, table, tokenizer
 
@@ -86,9 +86,29 @@ def op10_mixing(spark, d):
     return mixing.mix(table(spark, d, "documents"))
 
 
+def op11_spelling_variants(spark, d):
+    """Words of the corpus, some with a slip, and the frequent neighbours they may be slips of."""
+    return spelling.variants(spelling.word_counts(table(spark, d, "documents"), slip=199))
+
+
+def op12_hard_negatives(spark, d):
+    """Rows of another label that score nearly as well as an anchor's positives."""
+    rows = table(spark, d, "embeddings").filter(hard_negatives.usable(F.col("embedding")))
+    label = F.col("label").cast("long")
+    return hard_negatives.mine(rows.select(
+        F.col("vec_id").cast("long").alias("id"),
+        F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label).alias("label"),
+        hard_negatives.quantized(F.col("embedding")).alias("vector")))
+
+
+def op13_fingerprints(spark, d):
+    """Fingerprints of every text and of its edited text, and how like they are."""
+    return fingerprints.fingerprints(table(spark, d, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_benchmark_decontamination, op2_language_id, op3_line_dedup, op4_ngram_jaccard_join, op5_quality_rules, op6_substring_dedup, op7_token_counts, op8_toxicity,
-    op9_url_filters, op10_mixing,
+    op9_url_filters, op10_mixing, op11_spelling_variants, op12_hard_negatives, op13_fingerprints,
 )}
 #: For the driver's DuckDB check; queries that SQL cannot express have none.
 ORACLE_SQL: dict[str, str] = {}
