@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lanepulse.llm import (
-    decontamination, fingerprints, hard_negatives, jaccard_join, language_id, line_dedup, mixing, quality_rules,
+    decontamination, fingerprints, hard_negatives, jaccard_join, language_id, line_dedup, mixing, oracle, quality_rules,
     spelling, substring_dedup, token_counts, toxicity, url_rules,
 )
 from lanepulse.llm.common import held_out, sha256, table, tokenizer
@@ -111,4 +111,4 @@ QUERIES = {f.__name__: f for f in (
     op9_url_filters, op10_mixing, op11_spelling_variants, op12_hard_negatives, op13_fingerprints,
 )}
 #: For the driver's DuckDB check; queries that SQL cannot express have none.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = oracle.SQL
