@@ -110,3 +110,20 @@ def notifications(
         E.jam_message(flag, place).alias("message"),
         (flag == "1").alias("incoming"),
     )
+
+
+def table_changes(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Change feed between two versions of a keyed table: keys, ``change``, old and new image.
+
+    Each version has one row per key. ``change`` is insert, update or delete; an image is
+    null where there is none, and keys with equal images are left out. One shuffle of each
+    version, none if they are bucketed by the keys.
+    """
+    values = [c for c in after.columns if c not in keys]
+
+    def imaged(df: DataFrame, name: str) -> DataFrame:
+        return df.select(*keys, F.struct(*values).alias(name))
+
+    both = imaged(before, "old").join(imaged(after, "new"), list(keys), "full_outer")
+    change = F.when(F.col("old").isNull(), "insert").when(F.col("new").isNull(), "delete").otherwise("update")
+    return both.where(~F.col("old").eqNullSafe(F.col("new"))).select(*keys, change.alias("change"), "old", "new")

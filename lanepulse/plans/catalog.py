@@ -14,8 +14,7 @@ from lanepulse.operators import (
     changes, cleaning, indicators, output, reshape, slices, state, stations, windows,
 )
 from lanepulse.plans import adapters as A
-from lanepulse.plans import round_trips, traffic
-from lanepulse.plans import streams
+from lanepulse.plans import intake_streams, round_trips, streams, traffic
 from lanepulse.sources import ramp, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,7 +30,7 @@ def query(fn: Query) -> Query:
 
 
 def registry() -> dict[str, Query]:
-    return {**_REGISTRY, **round_trips.QUERIES, **streams.QUERIES}
+    return {**_REGISTRY, **round_trips.QUERIES, **streams.QUERIES, **intake_streams.QUERIES}
 
 
 def _profile(spark, d) -> DataFrame:

@@ -7,23 +7,24 @@ copies. It is an independent check of what the operators do to scale.
 from __future__ import annotations
 
 from lanepulse import schemas as S
+from lanepulse.plans import intake_streams as I
 
 _CLASSES = S.CLASSES
 
 
-def _measurements(ts: str = "ts", sensor: str = "user_id") -> str:
+def _measurements(ts: str = "ts", sensor: str = "user_id", where: str = "true") -> str:
     return f"""m AS (
       SELECT event_id, CAST({sensor} AS INTEGER) AS uniqueId,
              CAST(floor(value) AS INTEGER) AS reading,
              CAST(json_extract_string(props, '$.k') AS INTEGER) AS occ, {ts} AS ts
-      FROM events)"""
+      FROM events WHERE {where})"""
 
 
 def _flagged(short: str = "12 HOUR", long: str = "48 HOUR", ts: str = "ts",
-             sensor: str = "user_id") -> str:
+             sensor: str = "user_id", where: str = "true") -> str:
     """CTEs m (input), p (windows), q (previous), f (flags), loc, r (results)."""
     frame = "PARTITION BY uniqueId ORDER BY ts RANGE BETWEEN INTERVAL {} PRECEDING AND CURRENT ROW"
-    return f"""WITH {_measurements(ts, sensor)},
+    return f"""WITH {_measurements(ts, sensor, where)},
     p AS (
       SELECT event_id, uniqueId,
              CAST(trunc(avg(reading) OVER w0) AS INTEGER) AS speed,
@@ -251,6 +252,9 @@ def build(allowed: str, map_stations: tuple[str, ...]) -> dict[str, str]:
     ids = ", ".join(f"'{i.strip()}'" for i in allowed.split(","))
     map_ids = ", ".join(f"'{i}'" for i in map_stations)
     change = "uniqueId, originalRecordTimestamp, previousSpeed, speed AS currentSpeed"
+    bad_line = f"{I.TRUNCATED} OR {I.NO_SENSOR} OR {I.NO_NUMBER}"
+    first_half = "epoch_us(ts) < (SELECT (min(epoch_us(ts)) + max(epoch_us(ts))) // 2 FROM events)"
+    images = ", ".join(f"old.{c} AS old_{c}, new.{c} AS new_{c}" for c in S.STATE.fieldNames() if c not in S.STATE_KEYS)
     sql = {
         "speed_profile": f"{f} SELECT {_PROFILE} FROM p",
         "speed_profile_minutes":
@@ -438,6 +442,33 @@ def build(allowed: str, map_stations: tuple[str, ...]) -> dict[str, str]:
             '51,' || s_suppkey || '1' AS breedtegraad_EPSG_4326 FROM supplier""",
         "cleared_table": f"""{f}{_STATE} SELECT outputType, count(*) AS n FROM state
             WHERE outputType <> 'TRAFFIC_JAM' GROUP BY outputType""",
+        # Intake, consumers and archives
+        "stream_quarantine": f"""{_flagged(where=f"NOT ({bad_line})")} SELECT {_PROFILE} FROM p""",
+        "quarantined_rows": f"""SELECT event_id,
+            CASE WHEN {I.TRUNCATED} THEN 'corrupt' WHEN {I.NO_SENSOR} THEN 'no_sensor' ELSE 'failed' END AS reason,
+            CASE WHEN {I.TRUNCATED} THEN substr('{{"id":"' || event_id || '","sensor":"' || user_id || '","speed":"'
+                || CAST(floor(value) AS INTEGER) || '","occupancy":"', 1, {I.LINE_LENGTH}) END AS line,
+            CASE WHEN {I.TRUNCATED} OR {I.NO_SENSOR} THEN NULL
+                ELSE 'no number in speed: x' || CAST(floor(value) AS INTEGER) END AS error
+            FROM events WHERE {bad_line}""",
+        "stream_start_latest": f"""{_flagged(where="epoch_us(ts) >= (SELECT min(epoch_us(ts)) + (max(epoch_us(ts)) - min(epoch_us(ts))) * 3 // 6 FROM events)")}
+            SELECT {_PROFILE} FROM p""",
+        "corrupt_events": f"""{_flat_events()}, lines AS (SELECT *, {I.TRUNCATED} AS bad FROM fe)
+            SELECT CASE WHEN NOT bad THEN unieke_id END AS unieke_id,
+            CASE WHEN NOT bad THEN tijd_waarneming END AS tijd_waarneming,
+            CASE WHEN NOT bad THEN rekendata_bezettingsgraad END AS rekendata_bezettingsgraad,
+            CASE WHEN bad THEN substr('{{"beschrijvende_id":"' || beschrijvende_id || '","unieke_id', 1,
+                {I.LINE_LENGTH}) END AS line FROM lines""",
+        "table_change_feed": f"""WITH old AS ({_flagged(where=first_half)}{_STATE} SELECT * FROM state),
+            new AS ({f}{_STATE} SELECT * FROM state WHERE CAST(uniqueId AS INTEGER) % 7 <> 0)
+            SELECT coalesce(old.uniqueId, new.uniqueId) AS uniqueId,
+            coalesce(old.outputType, new.outputType) AS outputType,
+            CASE WHEN old.uniqueId IS NULL THEN 'insert' WHEN new.uniqueId IS NULL THEN 'delete' ELSE 'update' END
+                AS change, {images}
+            FROM old FULL JOIN new ON old.uniqueId = new.uniqueId AND old.outputType = new.outputType
+            WHERE old IS DISTINCT FROM new""",
+        "archived_days": f"""{f}{_RESULTS} SELECT {_RESULT} FROM r WHERE CAST(originalRecordTimestamp AS DATE)
+            < (SELECT CAST(min(originalRecordTimestamp) AS DATE) + 10 FROM r)""",
         # Streams
         "stream_null_sensor": f"""{_flagged(sensor="CASE WHEN user_id % 10 <> 3 THEN user_id END")}
             SELECT {_PROFILE} FROM p""",
@@ -462,6 +493,9 @@ def build(allowed: str, map_stations: tuple[str, ...]) -> dict[str, str]:
         "stream_traffic_output": "traffic_output",
         "stream_state_table": "latest_state",
         "stream_restart": "latest_state",
+        "stream_rate_limited": "speed_profile",
+        "stream_consumer_state": "latest_state",
+        "stream_consumer_restart": "latest_state",
         "stream_notifications": "notification_table",
     }
     sql.update({name: sql[source] for name, source in same_as.items()})

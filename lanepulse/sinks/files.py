@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lanepulse import schemas as S
+from lanepulse import storage
 from lanepulse.operators import output, stations
 
+
 def land_json(df: DataFrame, path: str, mode: str = "append") -> None:
     """Snapshot stations as JSON, next to the name of their source file.
 
@@ -92,3 +95,38 @@ def register_views(
     """Archived events and results as temporary views of the session."""
     spark.read.schema(S.FLAT_EVENT).json(events_path).createOrReplaceTempView(events_view)
     spark.read.schema(S.RESULT).json(results_path).createOrReplaceTempView(results_view)
+
+
+def archive_by_day(
+    df: DataFrame, path: str, time: Column, run: str, batch: int, mode: str = "overwrite"
+) -> None:
+    """JSON lines below ``day=<UTC day>/run=<query>/batch=<id>``.
+
+    A batch that runs again replaces its own folders and no others. Rows without a time go
+    to the day ``__HIVE_DEFAULT_PARTITION__``.
+    """
+    day = F.to_date(F.timestamp_micros(F.unix_micros(time)))
+    rows = df.withColumns({"day": day, "run": F.lit(run), "batch": F.lit(batch).cast("long")})
+    rows.write.mode(mode).option("partitionOverwriteMode", "dynamic").options(**output.TIME_OPTIONS) \
+        .partitionBy("day", "run", "batch").json(path)
+
+
+def read_archive(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """An archive by day, with ``day``: a condition on it leaves out folders, unopened."""
+    parts = [T.StructField("day", T.DateType()), T.StructField("run", T.StringType()),
+             T.StructField("batch", T.LongType())]
+    return spark.read.schema(T.StructType([*schema.fields, *parts])).json(path).drop("run", "batch")
+
+
+def compact_day(spark: SparkSession, path: str, day: str, files: int = 1) -> None:
+    """Replaces the small files of a day by ``files`` larger ones; the rows stay the same.
+
+    For days that get no more rows. The new files are written beside the day and take its
+    place by a rename, so a reader that lists the folder meanwhile may miss the day, but
+    never sees a row twice.
+    """
+    folder = f"{path.rstrip('/')}/day={day}"
+    beside = f"{path.rstrip('/')}/_compact/day={day}"
+    spark.read.option("recursiveFileLookup", True).text(folder).repartition(files) \
+        .write.mode("overwrite").text(f"{beside}/run=compact/batch=0")
+    storage.move(spark, beside, folder)

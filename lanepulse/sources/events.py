@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from lanepulse import schemas as S
 from lanepulse.operators import output
+from lanepulse.sources.snapshots import file_reader, modified_since
 
 
 def read_events_jsonl(
@@ -16,27 +17,22 @@ def read_events_jsonl(
     *,
     glob: str | None = None,
     max_files: int | None = None,
-    latest_first: bool = False,
+    max_bytes: str | None = None,
+    since_ms: int | None = None,
     corrupt_col: str | None = None,
 ) -> DataFrame:
     """Flat events, one JSON record per line, all fields as text.
 
     A line that is no JSON gives a row of NULLs; with ``corrupt_col`` its text
-    is kept in that column, for the quarantine.
+    is kept in that column, for the quarantine. ``since_ms`` leaves
+    out files that were modified before (``intake.start_bound``: start at the latest).
     """
-    reader = spark.readStream if stream else spark.read
+    reader = file_reader(spark, stream, glob, max_files, max_bytes)
     schema = S.FLAT_EVENT
     if corrupt_col is not None:
         schema = T.StructType([*schema.fields, T.StructField(corrupt_col, T.StringType())])
         reader = reader.option("columnNameOfCorruptRecord", corrupt_col)
-    reader = reader.schema(schema)
-    if glob is not None:
-        reader = reader.option("pathGlobFilter", glob)
-    if stream and max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    if stream and latest_first:
-        reader = reader.option("latestFirst", True)
-    return reader.json(path)
+    return modified_since(reader.schema(schema).json(path), since_ms)
 
 
 def read_results(source: DataFrame, value: str = "value") -> DataFrame:

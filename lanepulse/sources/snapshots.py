@@ -4,32 +4,53 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lanepulse import schemas as S
 from lanepulse.functions import expressions as E
 from lanepulse.functions import times
 
 
-def _reader(spark: SparkSession, stream: bool, glob: str | None, max_files: int | None):
-    """Batch or file-stream reader with name selection and rate limit."""
+def file_reader(
+    spark: SparkSession, stream: bool = False, glob: str | None = None, max_files: int | None = None,
+    max_bytes: str | None = None,
+):
+    """Batch or file-stream reader with name selection and rate limits.
+
+    The folder of the path is the prefix of the names, ``glob`` their suffix. A stream takes
+    ``max_files`` files or files of ``max_bytes`` ("64m") per micro-batch, oldest first.
+    """
     reader = spark.readStream if stream else spark.read
     if glob is not None:
         reader = reader.option("pathGlobFilter", glob)
     if stream and max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    if stream and max_bytes is not None:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
     return reader
 
 
-def _xml_rows(spark, path, schema, stream, glob, max_files):
-    return (
-        _reader(spark, stream, glob, max_files)
-        .format("xml")
-        .option("rowTag", "meetpunt")
-        .option("attributePrefix", "@")
-        .option("mode", "PERMISSIVE")
-        .schema(schema)
-        .load(path)
-    )
+def modified_since(df: DataFrame, since_ms: int | None) -> DataFrame:
+    """Rows of files that were modified at ``since_ms`` (epoch milliseconds) or later.
+
+    Spark skips older files by their listing, without opening them.
+    """
+    if since_ms is None:
+        return df
+    return df.where(F.col("_metadata.file_modification_time") >= F.timestamp_millis(F.lit(since_ms)))
+
+
+def _with_corrupt(schema: T.StructType, corrupt_col: str | None) -> T.StructType:
+    if corrupt_col is None:
+        return schema
+    return T.StructType([*schema.fields, T.StructField(corrupt_col, T.StringType())])
+
+
+def _xml_rows(reader, path, schema, corrupt_col=None):
+    reader = reader.format("xml").option("rowTag", "meetpunt").option("attributePrefix", "@")
+    if corrupt_col is not None:
+        reader = reader.option("columnNameOfCorruptRecord", corrupt_col)
+    return reader.option("mode", "PERMISSIVE").schema(_with_corrupt(schema, corrupt_col)).load(path)
 
 
 def read_snapshot_xml(
@@ -39,16 +60,23 @@ def read_snapshot_xml(
     *,
     glob: str | None = "*.xml",
     max_files: int | None = None,
+    max_bytes: str | None = None,
+    since_ms: int | None = None,
+    corrupt_col: str | None = None,
 ) -> DataFrame:
-    """One row per ``meetpunt`` of each snapshot below ``path``."""
-    return _xml_rows(spark, path, S.SNAPSHOT_STATION, stream, glob, max_files)
+    """One row per ``meetpunt`` of each snapshot below ``path``.
+
+    With ``corrupt_col``, the text of an element that is not well formed is kept there.
+    """
+    rows = _xml_rows(file_reader(spark, stream, glob, max_files, max_bytes), path, S.SNAPSHOT_STATION, corrupt_col)
+    return modified_since(rows, since_ms)
 
 
 def read_station_config(
     spark: SparkSession, path: str, *, glob: str | None = "*.xml"
 ) -> DataFrame:
     """One row per ``meetpunt`` of a station configuration."""
-    return _xml_rows(spark, path, S.STATION_CONFIG, False, glob, None)
+    return _xml_rows(file_reader(spark, glob=glob), path, S.STATION_CONFIG)
 
 
 def read_snapshot_json(
@@ -58,15 +86,23 @@ def read_snapshot_json(
     *,
     glob: str | None = "*.json",
     max_files: int | None = None,
+    max_bytes: str | None = None,
+    since_ms: int | None = None,
+    corrupt_col: str | None = None,
 ) -> DataFrame:
-    """One row per entry of ``miv.meetpunt`` of each JSON snapshot."""
-    docs = (
-        _reader(spark, stream, glob, max_files)
-        .schema(S.SNAPSHOT_DOCUMENT)
-        .option("multiLine", True)
-        .json(path)
-    )
-    return stations_of(docs)
+    """One row per entry of ``miv.meetpunt`` of each JSON snapshot.
+
+    With ``corrupt_col``, a document that is no JSON is one row with its text there.
+    """
+    reader = file_reader(spark, stream, glob, max_files, max_bytes).option("multiLine", True)
+    if corrupt_col is not None:
+        reader = reader.option("columnNameOfCorruptRecord", corrupt_col)
+    docs = modified_since(reader.schema(_with_corrupt(S.SNAPSHOT_DOCUMENT, corrupt_col)).json(path), since_ms)
+    if corrupt_col is None:
+        return stations_of(docs)
+    entries = F.when(F.col(corrupt_col).isNotNull(), F.array(F.lit(None).cast(S.SNAPSHOT_STATION))) \
+        .otherwise(F.col("miv.meetpunt"))
+    return docs.select(F.explode(entries).alias("m"), corrupt_col).select("m.*", corrupt_col)
 
 
 def stations_of(documents: DataFrame) -> DataFrame:
@@ -81,6 +117,7 @@ def read_raw_documents(
     *,
     glob: str | None = "*.xml",
     max_files: int | None = None,
+    since_ms: int | None = None,
     ingest_ms: int | None = None,
     prefix: str = "xml/input/",
 ) -> DataFrame:
@@ -89,9 +126,8 @@ def read_raw_documents(
     Documents of one run share the time; a hash of the source file tells them apart.
     """
     docs = (
-        _reader(spark, stream, glob, max_files)
-        .option("wholetext", True)
-        .text(path)
+        modified_since(
+            file_reader(spark, stream, glob, max_files).option("wholetext", True).text(path), since_ms)
         .withColumn("source_file", F.col("_metadata.file_path"))
     )
     ms = times.now_epoch_millis(ingest_ms)

@@ -69,3 +69,35 @@ def exists(spark: SparkSession, path: str) -> bool:
 def delete(spark: SparkSession, path: str) -> None:
     p, fs = _path(spark, path)
     fs.delete(p, True)
+
+
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Renames a folder, so that ``to`` appears at once; what an earlier attempt left there goes."""
+    source, fs = _path(spark, path)
+    target, _ = _path(spark, to)
+    fs.mkdirs(target.getParent())
+    fs.delete(target, True)
+    if not fs.rename(source, target):
+        raise OSError(f"cannot rename {path} to {to}")
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file; none if there is no file."""
+    p, fs = _path(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return str(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Makes a small file; fails if it is there."""
+    p, fs = _path(spark, path)
+    stream = fs.create(p, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()

@@ -7,13 +7,15 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lanepulse import schemas as S
+from lanepulse import storage
 from lanepulse.operators import changes, output, state
 from lanepulse.sinks import files, tables
 from lanepulse.streaming import queries
+from lanepulse.streaming.intake import batch_folder, run_of
 
 log = logging.getLogger(__name__)
 BatchFn = Callable[[DataFrame, int], None]
@@ -22,38 +24,47 @@ BatchFn = Callable[[DataFrame, int], None]
 def write_quarantine(df: DataFrame, path: str, batch_id: int, error: str) -> None:
     """Failed rows as JSON lines with the error that hit them."""
     df.withColumn("error", F.lit(error)).write.mode("overwrite").json(
-        f"{path}/run={run_of(df.sparkSession)}/batch={batch_id}")
+        f"{path}/{batch_folder(df.sparkSession, batch_id)}")
 
 
 def with_dead_letter(fn: BatchFn, path: str, retries: int = 2) -> BatchFn:
-    """Try a batch ``1 + retries`` times, then divert it and go on."""
+    """Try a batch ``1 + retries`` times, then divert it and go on.
+
+    The batch's rows are staged first, by the one time that its plan runs; attempts and the
+    quarantine read them from there, so state moves once however often a sink fails. A plan
+    that fails itself fails the query, which goes on from there when it starts again;
+    ``intake.Intake`` keeps rows that would make it fail out of a stateful query.
+    """
 
     def run(df: DataFrame, batch_id: int) -> None:
+        spark = df.sparkSession
+        staged = f"{path}/staged/{batch_folder(spark, batch_id)}"
+        df.write.mode("overwrite").parquet(staged)
+        rows = spark.read.schema(df.schema).parquet(staged)
         for attempt in range(retries + 1):
             try:
-                fn(df, batch_id)
-                return
+                fn(rows, batch_id)
+                break
             except Exception as e:  # noqa: BLE001 - any failure is diverted
                 log.warning("batch %s, attempt %s failed: %s", batch_id, attempt + 1, e)
                 error = f"{type(e).__name__}: {e}"
-        write_quarantine(df, path, batch_id, error)
+        else:
+            write_quarantine(rows, path, batch_id, error)
+        storage.delete(spark, staged)
 
     return run
 
 
-def split_corrupt(events: DataFrame, required: tuple[str, ...] = ("unieke_id",)):
-    """(usable, corrupt) events; corrupt ones lack a required field."""
-    bad = F.lit(False)
+def split_corrupt(
+    events: DataFrame, required: tuple[str, ...] = ("unieke_id",), corrupt_col: str | None = None
+):
+    """(usable, corrupt) events; corrupt ones lack a required field or were no record."""
+    bad = F.lit(False) if corrupt_col is None else F.col(corrupt_col).isNotNull()
     for c in required:
         bad = bad | F.col(c).isNull()
     return events.where(~bad), events.where(bad)
 
 
-def run_of(spark: SparkSession) -> str:
-    """The id of the streaming query whose batch this is; it lives in its checkpoint."""
-    return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
-
-
 @dataclass(frozen=True)
 class TrafficSinks:
     """Writes each batch of ``stream_speed_profile`` to all sinks below ``root``.
@@ -70,7 +81,7 @@ class TrafficSinks:
         base = f"{self.root.rstrip('/')}/{name}"
         if batch_id is None:
             return base
-        return f"{base}/run={run_of(self.locations.sparkSession)}/batch={batch_id}"
+        return f"{base}/{batch_folder(self.locations.sparkSession, batch_id)}"
 
     def __call__(self, profile: DataFrame, batch_id: int) -> None:
         # Stateful rows are computed once and then feed every sink.
