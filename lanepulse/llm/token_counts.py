@@ -7,11 +7,13 @@ over the chunks before it they give the exact count at every prefix of the text.
 ``tokens_at`` and ``cut_at`` answer truncation and budget questions from the stored
 counts without encoding again; ``tokens_before`` does so for whole chunks.
 
-A long chunk (text without blanks) is cut where the library's splitter cuts it,
-whatever follows. What is left, a long run of letters or of marks, is read once from
-left to right: the last token of a prefix is the one that ends there and stands after
-the last token of the prefix before it without merging. Runs in which characters
-combine, or behind a contraction, are encoded prefix by prefix.
+Prefixes of plain words go to the library's model alone, each once; the whole words go
+through all of the library as well, and the counts must agree. A long chunk (text without
+blanks) is cut where the library's splitter cuts it, whatever follows. What is left, a
+long run of letters or of marks, is read once from left to right: the last token of a
+prefix is the one that ends there and stands after the last token of the prefix before it
+without merging. Runs in which characters combine, or behind a contraction, are encoded
+prefix by prefix.
 
 A count may fall when a prefix grows, as more letters may make one token of several;
 the longest prefix within a limit is the last one, whatever stands before it.
@@ -53,7 +55,8 @@ _CONTRACTED = frozenset("strvmld")
 @functools.cache
 def _combining() -> frozenset[str]:
     """Characters that may change or move what stands before them (NFC)."""
-    pairs = (unicodedata.decomposition(chr(c)).split() for c in range(0x110000))
+    # no character beyond the supplementary ideographic plane decomposes
+    pairs = (unicodedata.decomposition(chr(c)).split() for c in range(0x30000))
     seconds = {chr(int(p[1], 16)) for p in pairs if len(p) == 2 and p[0][0] != "<"}
     jamo = {chr(c) for a, b in ((0x1161, 0x1176), (0x11A8, 0x11C3)) for c in range(a, b)}
     return frozenset(seconds | jamo)
@@ -68,23 +71,27 @@ class _Pieces:
         pairs = (m.split(" ") if isinstance(m, str) else m for m in model["merges"])
         self.rank = {tuple(m): k for k, m in reversed(list(enumerate(pairs)))}
         self.longest = max(map(len, self.vocab))
-        self.alone: dict[tuple, bool] = {}
+        self.alone: dict[tuple[str, str], bool] = {}
 
-    def stand(self, *tokens: str) -> bool:
-        """Whether the merges of all symbols end with these tokens."""
-        if tokens not in self.alone:
+    def stand(self, before: str, token: str) -> bool:
+        """Whether the merges of all symbols end with these two tokens, or the one if the first is empty."""
+        pair = (before, token)
+        if pair not in self.alone:
             if len(self.alone) >= REMEMBERED:
                 self.alone.clear()
-            last = tokens[-1].removesuffix(self.ends)
-            parts = list("".join(tokens[:-1]) + last)
-            parts[-1] += tokens[-1][len(last):]
+            last = token.removesuffix(self.ends)
+            parts = list(before + last)
+            parts[-1] += token[len(last):]
+            none, rank = len(self.rank), self.rank.get
             while len(parts) > 1:
-                rank, k = min((self.rank.get(p, len(self.rank)), k) for k, p in enumerate(zip(parts, parts[1:])))
-                if rank == len(self.rank):
+                ranks = [rank(p, none) for p in zip(parts, parts[1:])]
+                best = min(ranks)
+                if best == none:
                     break
+                k = ranks.index(best)
                 parts[k:k + 2] = [parts[k] + parts[k + 1]]
-            self.alone[tokens] = parts == list(tokens)
-        return self.alone[tokens]
+            self.alone[pair] = parts == ([before, token] if before else [token])
+        return self.alone[pair]
 
     def counts(self, symbols: str, ends: list[int]) -> list[int]:
         """Tokens of the first ``n`` symbols as a word, for each ``n`` in ``ends``."""
@@ -95,7 +102,7 @@ class _Pieces:
             for size in range(1, min(end, self.longest) + 1):
                 token = symbols[end - size:end] + suffix
                 before = last[end - size]
-                if token in self.vocab and (self.stand(before, token) if before else self.stand(token)):
+                if token in self.vocab and self.stand(before, token):
                     return token, count[end - size] + 1
             raise ValueError("no token ends here")
 
@@ -132,6 +139,7 @@ class ChunkCounter:
         self.shapes: dict[bytes, bytes] = {}
         self.starts: dict[str, int] = {}  # prefixes of many words are the same
         self.kinds: dict[str, str] = {}
+        self.letters: dict[str, str] = {}
         self.forget()
 
     def forget(self) -> None:
@@ -230,19 +238,68 @@ class ChunkCounter:
         shape = array("i", [*counts, counts[-1]]).tobytes()
         return self.shapes.setdefault(shape, shape)
 
+    def symbols(self, char: str) -> str:
+        """What the vocabulary has for a letter that stands for itself; empty for all else."""
+        if char not in self.letters:
+            plain = self.kind(char) == "L" and self._inert(char)
+            split = self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(char))
+            self.letters[char] = split[0][0] if plain and len(split) == 1 else ""
+        return self.letters[char]
+
+    def _learn_words(self, new: set[str]) -> list[str]:
+        """Learns the words of plain letters; returns the rest.
+
+        The vocabulary's model counts their prefixes, without the normalizer and the splitter,
+        which do nothing to them; a group of words for which the library counts otherwise is
+        returned.
+        """
+        words, others = [], []
+        for p in new:
+            made = [self.symbols(c) for c in p]
+            (words if all(made) else others).append((p, made))
+        tokens = self.tokenizer.model.tokenize
+        for k in range(0, len(words), 500):
+            some, found, total = words[k:k + 500], [], self.starts
+            if len(total) > REMEMBERED:
+                total = self.starts = {}
+            for _, made in some:
+                text, counts = "", []
+                for symbol in made:
+                    text += symbol
+                    if text not in total:
+                        total[text] = len(tokens(text))
+                    counts.append(total[text])
+                found.append(counts)
+            if sum(c[-1] for c in found) == self._totals([" ".join(p for p, _ in some)])[0]:
+                self.known.update((p, self._keep(c)) for (p, _), c in zip(some, found, strict=True))
+            else:
+                others += some
+        return [p for p, _ in others]
+
     def learn(self, chunks: set[str]) -> None:
         if len(self.known) + len(chunks) > REMEMBERED:
             self.forget()
         known = self.known
         parts = {c: self.parts(c) for c in chunks if c not in known}
         new = {p for pair in parts.values() for p in pair if p and p not in known}
-        if len(self.starts) > REMEMBERED:
-            self.starts = {}
-        total = self.starts
-        starts = list({p[:k] for p in new for k in range(1, len(p) + 1)} - total.keys())
-        total.update(zip(starts, self._totals(starts), strict=True))
-        for p in new:
+        # chunks with signs or digits in them are sums over what the splitter makes of them
+        joint = {p: [p[a:b] for a, b in zip(cuts, cuts[1:])] for p in new
+                 if not (p.isalpha() or self.special and "<" in p) and len(cuts := self._cuts(p)) > 2}
+        new = {x for x in (new - joint.keys()).union(*joint.values()) if x not in known}
+        others = self._learn_words(new)
+        starts = list({p[:k] for p in others for k in range(1, len(p) + 1)})
+        total = dict(zip(starts, self._totals(starts), strict=True))
+        for p in others:
             known[p] = self._keep([total[p[:k]] for k in range(1, len(p) + 1)])
+        for p, made in joint.items():
+            counts = np.zeros(len(p) + 1, np.int32)
+            at = total_so_far = 0
+            for x in made:
+                own = np.frombuffer(known[x], np.int32)
+                counts[at:at + len(own)] = own + total_so_far
+                at, total_so_far = at + len(x), counts[at + len(own) - 1]
+            shape = counts.tobytes()
+            known[p] = self.shapes.setdefault(shape, shape)
         for c, (a, b) in parts.items():
             if b:
                 shape = known[a] + (int.from_bytes(known[a][-4:], "little") + 1).to_bytes(4, "little")
