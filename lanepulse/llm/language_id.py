@@ -11,9 +11,9 @@ What is counted covers all labelled rows and grows with them; what is sent to th
 tasks is a probability per piece and language. Words are remembered per worker up
 to ``REMEMBERED``, for speed only.
 
-Words are runs of letters, lower-cased; the parts of longer words than ``_LONG``
-letters count as words. A text without letters, or null, is ``und`` with score 0;
-so is every text if no language was learned.
+Words are runs of letters (Unicode L), lower-cased, whole whatever their length; sums
+are rescaled on the way, so that long words do not vanish. A text without letters, or
+null, is ``und`` with score 0; so is every text if no language was learned.
 """
 
 from __future__ import annotations
@@ -31,8 +31,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _WORD = re.compile(r"[^\W\d_]+")
-_LONG = 32
 REMEMBERED = 400_000
+#: Letters of remembered words, and letters times words of a forward pass.
+_LETTERS, _PASS = 16_000_000, 131_072
+#: Letters after which sums are rescaled; a letter costs a factor of 1e-12 at most.
+_RESCALED = 16
 #: Added to each piece's count.
 SMOOTHING = 0.5
 UNKNOWN = "und"
@@ -41,8 +44,9 @@ _START = "▁"
 
 def words_of(text: str | None) -> list[str]:
     found = _WORD.findall((text or "").lower())
-    return [p for w in found for p in
-            ((w,) if len(w) <= _LONG else (w[k:k + _LONG] for k in range(0, len(w), _LONG)))]
+    if not all(map(str.isalpha, found)):  # numerals such as ½ pass the pattern
+        found = [p for w in found for p in "".join(c if c.isalpha() else " " for c in w).split()]
+    return found
 
 
 _processors: dict = {}
@@ -130,7 +134,8 @@ class Scorer:
     def __init__(self, model: dict):
         self.langs = model["langs"]
         self.rare = np.exp(np.array(model["rare"], float))
-        self.chance = np.exp(np.array(list(model["pieces"].values()), float).reshape(-1, len(self.langs)))
+        chance = np.array(list(model["pieces"].values()), float)
+        self.chance = np.exp(chance.reshape(len(model["pieces"]), len(self.langs)))
         # pieces as a tree: an edge is (node, letter), a node may end a piece
         nodes: dict[tuple[int, str], int] = {}
         ends: list[int] = [-1]
@@ -143,6 +148,7 @@ class Scorer:
                 node = nodes[node, letter]
             ends[node] = row
         self.ends = np.array(ends)
+        self.longest = max(map(len, model["pieces"]), default=1)
         keys = np.array([(n << 21) + ord(c) for n, c in nodes], np.int64)
         order = np.argsort(keys)
         self.keys = np.append(keys[order], np.int64(2**62))
@@ -151,14 +157,17 @@ class Scorer:
 
     def forget(self) -> None:
         self.place: dict[str, int] = {}
+        self.letters = 0
         self.table = np.zeros((0, len(self.langs)))
 
     def words(self, words: list[str]) -> np.ndarray:
         """A row of log probabilities for each word."""
         out = np.zeros((len(words), len(self.langs)))
         by_length = sorted(range(len(words)), key=lambda i: len(words[i]))
-        for k in range(0, len(words), 4096):
-            some = by_length[k:k + 4096]
+        while by_length:
+            # the longest words that are left, few if they are long
+            some = by_length[-max(1, min(4096, _PASS // (len(words[by_length[-1]]) + 1))):]
+            del by_length[-len(some):]
             out[some] = self._forward([_START + words[i] for i in some])
         return out
 
@@ -167,10 +176,19 @@ class Scorer:
         most = int(length[-1])
         letters = np.frombuffer("".join(w.ljust(most, "\0") for w in marked).encode("utf-32-le"), np.uint32)
         letters = letters.reshape(len(marked), most).astype(np.int64)
-        # forward[i]: the sum over all ways to cut the first i letters
+        # forward[i]: the sum over all ways to cut the first i letters, times exp(-scale)
         forward = np.zeros((most + 1, len(marked), len(self.langs)))
         forward[0] = 1.0
-        for i in range(most):
+        scale, out = np.zeros((len(marked), 1)), np.zeros((len(marked), len(self.langs)))
+        for i in range(most + 1):
+            if i % _RESCALED == _RESCALED - 1:
+                top = forward[i].max(axis=1, keepdims=True)
+                top[top == 0] = 1.0  # words that have ended
+                forward[i:i + self.longest + 1] /= top
+                scale += np.log(top)
+            ended = length == i
+            # a language may be out of reach of a double by now
+            out[ended] = np.log(np.maximum(forward[i][ended], 1e-300)) + scale[ended]
             at = np.flatnonzero(length > i)
             node = np.zeros(len(at), np.int64)
             for j in range(i, most):
@@ -185,8 +203,7 @@ class Scorer:
                 at, node = at[known], self.to[found[known]]
                 if not len(at):
                     break
-        last = forward[length, np.arange(len(marked))]
-        return np.log(np.maximum(last, 1e-300))
+        return out
 
     def texts(self, texts: list[str | None]) -> Iterator[tuple[str, float]]:
         for k in range(0, len(texts), 256):
@@ -194,9 +211,10 @@ class Scorer:
 
     def _texts(self, split: list[list[str]]) -> Iterator[tuple[str, float]]:
         if self.langs:
-            if len(self.place) > REMEMBERED:
+            if len(self.place) > REMEMBERED or self.letters > _LETTERS:
                 self.forget()
             new = list(set().union(*split).difference(self.place))
+            self.letters += sum(map(len, new))
             self.place.update(zip(new, range(len(self.place), len(self.place) + len(new)), strict=True))
             self.table = np.concatenate([self.table, self.words(new)])
         for words in split:
