@@ -111,7 +111,7 @@ def snapshot_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.select(
         F.concat(F.lit("H@"), key).alias("@beschrijvende_id"),
         key.alias("@unieke_id"),
-        F.lit("55").alias("lve_nr"),
+        F.lit("31").alias("lve_nr"),
         F.concat(clock, F.lit("+01:00")).alias("tijd_waarneming"),
         F.concat(clock, F.lit("+01:00")).alias("tijd_laatst_gewijzigd"),
         F.lit("0").alias("actueel_publicatie"),

@@ -209,7 +209,7 @@ _PIVOTED = f"""{_LINES},
     pv AS (SELECT l_orderkey, {_pivot()} FROM line WHERE rn = 1 GROUP BY l_orderkey)"""
 _SNAPSHOT_EVENTS = f"""{_PIVOTED}
     SELECT 'H' || o.l_orderkey AS beschrijvende_id, CAST(o.l_orderkey AS VARCHAR) AS unieke_id,
-           '55' AS lve_nr, CAST(epoch_us(shipped) // 1000000 - 3600 AS VARCHAR) AS tijd_waarneming,
+           '31' AS lve_nr, CAST(epoch_us(shipped) // 1000000 - 3600 AS VARCHAR) AS tijd_waarneming,
            strftime(shipped, '%Y-%m-%dT%H:%M:%S') || '+01:00' AS tijd_laatst_gewijzigd,
            '0' AS actueel_publicatie, '1' AS beschikbaar, '0' AS defect, '0' AS geldig,
            {_PIVOT_NAMES}, occupancy AS rekendata_bezettingsgraad,

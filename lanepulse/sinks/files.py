@@ -105,7 +105,7 @@ def archive_by_day(
     A batch that runs again replaces its own folders and no others. Rows without a time go
     to the day ``__HIVE_DEFAULT_PARTITION__``.
     """
-    day = F.to_date(F.timestamp_micros(F.unix_micros(time)))
+    day = F.date_from_unix_date(F.floor(F.unix_micros(time) / 86_400_000_000).cast("int"))
     rows = df.withColumns({"day": day, "run": F.lit(run), "batch": F.lit(batch).cast("long")})
     rows.write.mode(mode).option("partitionOverwriteMode", "dynamic").options(**output.TIME_OPTIONS) \
         .partitionBy("day", "run", "batch").json(path)

@@ -17,7 +17,7 @@ def read_events_jsonl(
     *,
     glob: str | None = None,
     max_files: int | None = None,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
     since_ms: int | None = None,
     corrupt_col: str | None = None,
 ) -> DataFrame:

@@ -13,12 +13,12 @@ from lanepulse.functions import times
 
 def file_reader(
     spark: SparkSession, stream: bool = False, glob: str | None = None, max_files: int | None = None,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
 ):
     """Batch or file-stream reader with name selection and rate limits.
 
     The folder of the path is the prefix of the names, ``glob`` their suffix. A stream takes
-    ``max_files`` files or files of ``max_bytes`` ("64m") per micro-batch, oldest first.
+    ``max_files`` files or files of ``max_bytes`` in all per micro-batch, oldest first.
     """
     reader = spark.readStream if stream else spark.read
     if glob is not None:
@@ -60,7 +60,7 @@ def read_snapshot_xml(
     *,
     glob: str | None = "*.xml",
     max_files: int | None = None,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
     since_ms: int | None = None,
     corrupt_col: str | None = None,
 ) -> DataFrame:
@@ -86,7 +86,7 @@ def read_snapshot_json(
     *,
     glob: str | None = "*.json",
     max_files: int | None = None,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
     since_ms: int | None = None,
     corrupt_col: str | None = None,
 ) -> DataFrame:

@@ -38,8 +38,8 @@ def with_dead_letter(fn: BatchFn, path: str, retries: int = 2) -> BatchFn:
 
     def run(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
-        staged = f"{path}/staged/{batch_folder(spark, batch_id)}"
-        df.write.mode("overwrite").parquet(staged)
+        staged = storage.work_folder(spark, "batch")
+        df.write.parquet(staged)
         rows = spark.read.schema(df.schema).parquet(staged)
         for attempt in range(retries + 1):
             try:

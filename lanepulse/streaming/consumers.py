@@ -67,7 +67,8 @@ def _flag() -> Column:
 
 
 def _sensor() -> Column:
-    return F.coalesce(F.col("uniqueId").cast("long"), F.lit(NO_SENSOR)).alias("sensor")
+    # the state table has a text where there is no sensor
+    return F.coalesce(F.col("uniqueId").try_cast("long"), F.lit(NO_SENSOR)).alias("sensor")
 
 
 def stored_flags(items: DataFrame) -> DataFrame:

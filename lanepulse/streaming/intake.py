@@ -136,24 +136,23 @@ class Intake:
         while todo:
             modulus, rest, error = todo.pop()
             part = rows.where(F.pmod(code, F.lit(modulus)) == rest)
-            if modulus > 1:
-                if part.isEmpty():
-                    continue
-                at = f"{path}/{modulus}-{rest}"
-                error = self._tried(part, at, 0)
+            finer = modulus * PARTS
+            each = part.groupBy(F.pmod(code, F.lit(finer)).alias("rest")).agg(F.min(code).alias("a"), F.max(code).alias("b"))
+            for own, low, high in each.collect():  # PARTS rows at most
+                some = rows.where(F.pmod(code, F.lit(finer)) == own)
+                at = f"{path}/{finer}-{own}"
+                error = self._tried(some, at, 0)
                 if error is None:
                     good.append(at)
-                    continue
-            ends = part.agg(F.min(code).alias("a"), F.max(code).alias("b")).first()
-            if ends["a"] == ends["b"]:  # equal rows, or alone
-                bad.append(part.withColumns({REASON: F.lit("failed"), ERROR: F.lit(error)}))
-            else:
-                todo += [(modulus * PARTS, rest + k * modulus, error) for k in range(PARTS)]
+                elif low == high:  # equal rows, or one
+                    bad.append(some.withColumns({REASON: F.lit("failed"), ERROR: F.lit(error)}))
+                else:
+                    todo.append((finer, own, error))
         return good
 
     def _publish(self, spark: SparkSession, parts: list[str], usable: DataFrame, staged: str,
                  bad: list[DataFrame], quarantine: str) -> None:
-        if parts == [p for p in parts if p.endswith("/whole")] and self.files is None:
+        if self.files is None and len(parts) == 1 and parts[0].endswith("/whole"):
             storage.move(spark, parts[0], staged)
         else:
             schema = self.prepare(usable).schema

@@ -6,11 +6,27 @@ import random
 
 START = 1_700_000_007
 
-# Golden run: one sensor, occupancy 6, one reading per second.
-GOLDEN_SPEEDS = [100, 100, 70, 35, 15, 15, 40, 75, 110, 110, 110]
-GOLDEN_AVERAGES = [100, 100, 90, 76, 64, 55, 53, 56, 62, 67, 70]
-GOLDEN_PREVIOUS = [100, 100, 100, 70, 35, 15, 15, 40, 75, 110, 110]
-GOLDEN_CHANGE = [0, 0, -1, -1, -1, 0, 1, 1, 1, 0, 0]
+# Golden run, made from the rules: one sensor, occupancy 6. Changes of 19 and 20 in both
+# directions, two readings at one instant, two silences longer than any window, a jam.
+GOLDEN_READINGS = [
+    (0, 61), (60, 80), (120, 100), (180, 81), (240, 50), (240, 72), (1240, 140), (1300, 139), (1360, 0),
+    (3000, 12), (3060, 31), (3120, 90)]
+GOLDEN_SPEEDS = [61, 80, 100, 81, 61, 61, 140, 139, 0, 12, 31, 90]
+GOLDEN_3_MINUTES = [61, 70, 80, 80, 76, 76, 140, 139, 93, 12, 21, 44]
+GOLDEN_10_MINUTES = [61, 70, 80, 80, 74, 74, 140, 139, 93, 12, 21, 44]
+GOLDEN_PREVIOUS = [61, 61, 80, 100, 81, 61, 61, 140, 139, 0, 12, 31]
+GOLDEN_CHANGE = [0, 0, 1, 0, -1, 0, 1, 0, -1, 0, 0, 1]
+GOLDEN_JAM = [0] * 9 + [1, 1, 0]
+#: The second reading of an instant; a stream of instants has no row for it.
+GOLDEN_COPY = 5
+
+
+def golden_rows(sensor=812):
+    return [(sensor, START + float(at), speed, 6) for at, speed in GOLDEN_READINGS]
+
+
+def without_copy(values):
+    return values[:GOLDEN_COPY] + values[GOLDEN_COPY + 1:]
 
 
 def measurements(spark, rows):

@@ -53,13 +53,14 @@ def test_change_points_and_feed_match_brute_force(spark, seed):
 
 
 def test_golden_change_points(spark):
-    m = X.measurements(spark, X.sequence(X.GOLDEN_SPEEDS))
+    m = X.measurements(spark, X.golden_rows())
     loc = _locations(spark)
-    jam = traffic.jam_versions(m, loc).collect()
-    assert [r.recordTimestamp for r in jam] == [X.START * 1000]
-    speed = traffic.speed_change_versions(m, loc).orderBy("recordTimestamp").collect()
-    assert [(r.recordTimestamp // 1000 - X.START + 1, r.speedDiffIndicator) for r in speed] == [
-        (1, 0), (3, -1), (6, 0), (7, 1), (10, 0)]
+    jam = traffic.jam_versions(m, loc).orderBy("recordTimestamp").collect()
+    assert [(r.recordTimestamp // 1000 - X.START, r.trafficJamIndicator) for r in jam] == [
+        (0, 0), (3000, 1), (3120, 0)]
+    speed = traffic.speed_change_versions(m, loc).orderBy("recordTimestamp", "position").collect()
+    assert [(r.recordTimestamp // 1000 - X.START, r.speedDiffIndicator) for r in speed] == [
+        (0, 0), (120, 1), (180, 0), (240, -1), (240, 0), (1240, 1), (1300, 0), (1360, -1), (3000, 0), (3120, 1)]
 
 
 @pytest.mark.parametrize("flags,expected", [
@@ -132,12 +133,12 @@ def test_latest_state_matches_keyed_writes(spark, seed):
 
 
 def test_every_sensor_ends_with_three_items(spark):
-    m = X.measurements(spark, X.sequence(X.GOLDEN_SPEEDS))
+    m = X.measurements(spark, X.golden_rows())
     items = traffic.traffic_state(m, _locations(spark))
     assert sorted(r.outputType for r in items.collect()) == sorted(S.OUTPUT_TYPES)
-    speed = state.lookup(items, S.SPEED_DIFFERENTIAL, "812", "speedDiffIndicator", 0)
-    assert speed.first().recordTimestamp == str((X.START + 9) * 1000)
-    assert state.lookup(items, S.SPEED_DIFFERENTIAL, "1", "speedDiffIndicator", 0).count() == 0
+    speed = state.lookup(items, S.SPEED_DIFFERENTIAL, "812", "speedDiffIndicator", 1)
+    assert speed.first().recordTimestamp == str((X.START + 3120) * 1000)
+    assert state.lookup(items, S.SPEED_DIFFERENTIAL, "1", "speedDiffIndicator", 1).count() == 0
     situation = state.current_situation_json(items).collect()
     assert len(situation) == 1 and situation[0].entry.startswith('{"812":[{"uniqueId":"812"')
 

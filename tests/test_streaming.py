@@ -57,13 +57,15 @@ def test_stream_equals_batch(spark, tmp_path):
 
 
 def test_golden_run_in_a_stream(spark, tmp_path):
-    rows = X.sequence(X.GOLDEN_SPEEDS)
+    rows = X.golden_rows()
     sdf = stream_of(spark, tmp_path, rows[:4], rows[4:], [CLOSING])
     profile = queries.stream_speed_profile(sdf, delay="1 minute")
     found = streams.run(profile, "golden").orderBy("recordTimestamp").collect()
-    assert [r.avgSpeed3Minutes for r in found] == X.GOLDEN_AVERAGES
-    assert [r.previousSpeed for r in found] == X.GOLDEN_PREVIOUS
-    assert [r.speedDiffIndicator for r in found] == X.GOLDEN_CHANGE
+    assert [r.avgSpeed3Minutes for r in found] == X.without_copy(X.GOLDEN_3_MINUTES)
+    assert [r.avgSpeed10Minutes for r in found] == X.without_copy(X.GOLDEN_10_MINUTES)
+    assert [r.previousSpeed for r in found] == X.without_copy(X.GOLDEN_PREVIOUS)
+    assert [r.speedDiffIndicator for r in found] == X.without_copy(X.GOLDEN_CHANGE)
+    assert [r.trafficJamIndicator for r in found] == X.without_copy(X.GOLDEN_JAM)
 
 
 def test_late_and_untimed_rows_are_dropped(spark, tmp_path):
@@ -127,8 +129,8 @@ def test_snapshot_files_to_results(spark, tmp_path):
     for minute, speed in enumerate((120, 60, 30)):
         snapshot_file(
             folder, f"{minute}.xml",
-            station_xml(30, [(2, 1, speed, speed)], f"2023-11-15T08:3{minute}:00+01:00"),
-            station_xml(31, [(2, 0, 0, 252)], f"2023-11-15T08:3{minute}:00+01:00"))
+            station_xml(615, [(2, 3, speed, speed)], f"2023-11-15T08:3{minute}:00+01:00"),
+            station_xml(616, [(2, 0, 0, 252)], f"2023-11-15T08:3{minute}:00+01:00"))
         os.utime(folder / f"{minute}.xml", (1_600_000_000 + minute,) * 2)
     (folder / "skip.tmp").write_text("half written")
 
@@ -141,7 +143,7 @@ def test_snapshot_files_to_results(spark, tmp_path):
     archived = events.read_events_jsonl(spark, archive)
     assert archived.count() == 6
 
-    m = traffic.measurements_from_events(flat(), "30, 31")
+    m = traffic.measurements_from_events(flat(), "615, 616")
     results = queries.stream_traffic_output(queries.stream_speed_profile(m, delay="0 seconds"))
     found = streams.run(results, "xml-results").where("outputType = 'SPEED_AVG'")
     assert [r.avgSpeed3Minutes for r in found.orderBy("recordTimestamp").collect()] == [120, 90, 70]

@@ -15,13 +15,14 @@ def _rows(df):
 
 
 def test_golden_run(spark):
-    df = windows.speed_readings(X.measurements(spark, X.sequence(X.GOLDEN_SPEEDS)))
-    rows = df.transform(indicators.traffic_indicators).orderBy("recordTimestamp").collect()
-    assert [r.avgSpeed3Minutes for r in rows] == X.GOLDEN_AVERAGES
-    assert [r.avgSpeed10Minutes for r in rows] == X.GOLDEN_AVERAGES
+    df = windows.speed_readings(X.measurements(spark, X.golden_rows()))
+    rows = df.transform(indicators.traffic_indicators).orderBy("recordTimestamp", "speedDiffIndicator").collect()
+    assert [r.speed for r in rows] == X.GOLDEN_SPEEDS
+    assert [r.avgSpeed3Minutes for r in rows] == X.GOLDEN_3_MINUTES
+    assert [r.avgSpeed10Minutes for r in rows] == X.GOLDEN_10_MINUTES
     assert [r.previousSpeed for r in rows] == X.GOLDEN_PREVIOUS
     assert [r.speedDiffIndicator for r in rows] == X.GOLDEN_CHANGE
-    assert [r.trafficJamIndicator for r in rows] == [0] * 11
+    assert [r.trafficJamIndicator for r in rows] == X.GOLDEN_JAM
     assert rows[0].recordTimestamp == X.START * 1000
     assert rows[0].originalRecordTimestamp.replace(tzinfo=timezone.utc) == datetime.fromtimestamp(
         X.START, timezone.utc)
