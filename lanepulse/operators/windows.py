@@ -210,3 +210,16 @@ def previous_speed(readings: DataFrame) -> DataFrame:
         "recordTimestamp",
         "originalRecordTimestamp",
     )
+
+
+def restarted_average(
+    df: DataFrame, col: str, key: str, time: str, rows: int, unit: str, alias: str
+) -> DataFrame:
+    """Average of the last ``rows`` + 1 readings of the key, beginning anew each ``unit`` (minute, hour).
+
+    The unit bounds the group that is sorted. Readings of one instant are ordered by value,
+    NULL first; averages are rounded towards zero.
+    """
+    frame = Window.partitionBy(key, F.date_trunc(unit, time)).orderBy(time, col).rowsBetween(-rows, 0)
+    total, n = F.sum(col).over(frame), F.count(col).over(frame)
+    return df.withColumn(alias, F.when(n > 0, F.signum(total) * F.floor(F.abs(total) / n)).cast("int"))

@@ -21,7 +21,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
 
 ALLOWED = "1, 3, 8, 46, 7, 16, 23, 99, 120"
-MAP_STATIONS = ("1", "3", "8", "46", "7", "16")
+MAP_STATIONS = intake_streams.MAP_STATIONS
 
 
 def query(fn: Query) -> Query:

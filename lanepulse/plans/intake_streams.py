@@ -9,14 +9,14 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lanepulse import schemas as S
 from lanepulse import storage
 from lanepulse.functions import times
-from lanepulse.operators import changes, output
+from lanepulse.operators import changes, output, windows
 from lanepulse.plans import adapters as A
 from lanepulse.plans import streams, traffic
 from lanepulse.sinks import files, tables
@@ -32,6 +32,9 @@ LANDINGS, FILES = 6, 2
 #: Events whose line is cut off, lacks the sensor, or has a speed that is no number.
 TRUNCATED, NO_SENSOR, NO_NUMBER = "event_id % 50 = 3", "event_id % 50 = 4", "event_id % 5000 = 7"
 LINE_LENGTH = 24
+#: One of so many events of the first landings comes late.
+LATE = 40
+MAP_STATIONS = ("1", "3", "8", "46", "7", "16")
 LINE = T.StructType([T.StructField(c, T.StringType()) for c in (
     "id", "sensor", "speed", "occupancy", "us", "_corrupt")])
 READING = T.StructType([
@@ -78,26 +81,31 @@ class Landings:
     def bound(self, k: int) -> int:
         return self.first + (self.last - self.first) * k // LANDINGS
 
-    def land(self, k: int) -> None:
+    def slice(self, k: int) -> Column:
         above = F.lit(True) if k == 0 else F.col("us") >= self.bound(k)
-        below = F.lit(True) if k == LANDINGS - 1 else F.col("us") < self.bound(k + 1)
-        self.lines.where(above & below).select("value").repartition(FILES) \
-            .write.text(f"{self.folder}/in/landing-{k}")
+        return above if k == LANDINGS - 1 else above & (F.col("us") < self.bound(k + 1))
 
-    def close(self) -> None:
-        """A line far behind all others, by which a stream knows that they are complete."""
-        us = self.last + (self.delay + 1) * 1_000_000
+    def land(self, k: int, rows: Column | None = None, name: str | None = None) -> None:
+        self.lines.where(self.slice(k) if rows is None else rows).select("value").repartition(FILES) \
+            .write.text(f"{self.folder}/in/landing-{k if name is None else name}")
+
+    def close(self, margin: int = 0) -> None:
+        """A line far behind all others, by which a stream knows that they are complete.
+
+        ``margin`` seconds close windows of that length as well.
+        """
+        us = self.last + (self.delay + 1 + margin) * 1_000_000
         self.spark.range(1).select(F.to_json(F.struct(
             F.lit("-1").alias("id"), F.lit("-1").alias("sensor"), F.lit(str(us)).alias("us")))) \
             .write.text(f"{self.folder}/in/landing-{LANDINGS}")
 
-    def land_all(self) -> Landings:
+    def land_all(self, margin: int = 0) -> Landings:
         # neither of these two has the right prefix and suffix
         self.lines.limit(5).select("value").write.text(f"{self.folder}/other/landing-0")
         self.lines.limit(5).select("value").write.csv(f"{self.folder}/in/landing-x")
         for k in range(LANDINGS):
             self.land(k)
-        self.close()
+        self.close(margin)
         return self
 
     def stream(self, max_files: int | None = 3, since_ms: int | None = None) -> DataFrame:
@@ -105,8 +113,8 @@ class Landings:
             .option("columnNameOfCorruptRecord", "_corrupt")
         return snapshots.modified_since(reader.json(f"{self.folder}/in/landing-*"), since_ms)
 
-    def intake(self) -> Intake:
-        return Intake(f"{self.folder}/intake", readings, CHECKS)
+    def intake(self, late: bool = False) -> Intake:
+        return Intake(f"{self.folder}/intake", readings, CHECKS, late=("recordTimestamp", self.delay) if late else None)
 
 
 def readings(lines: DataFrame) -> DataFrame:
@@ -184,6 +192,83 @@ def stream_start_latest(spark, d):
     return _profile(landed, intake.read_staged(spark, READING), "stream-latest")
 
 
+@query
+def stream_late_rows(spark, d):
+    """All readings, with those marked that came too late and went to their own table.
+
+    Some readings come with the third landing after their own.
+    """
+    landed = Landings(event_lines(spark, d, faults=False), "stream-late")
+    delayed = F.get_json_object("value", "$.id").cast("long") % LATE == 9
+    for k in range(LANDINGS):
+        rows = landed.slice(k) & ~delayed if k < LANDINGS // 2 else landed.slice(k) | (landed.slice(k - 3) & delayed)
+        landed.land(k, rows)
+    intake = landed.intake(late=True)
+    queries.start(landed.stream(FILES), intake, f"{landed.folder}/checkpoint", trigger=None).awaitTermination()
+    on_time = spark.read.schema(READING).option("recursiveFileLookup", True).parquet(intake.staged)
+    both = on_time.withColumn("late", F.lit(False)).unionByName(
+        intake.read_late(spark, READING).withColumn("late", F.lit(True)))
+    return both.withColumn("recordTimestamp", F.unix_micros("recordTimestamp"))
+
+
+@query
+def stream_replays(spark, d):
+    """Readings of a stream in which a landing came twice, each once."""
+    landed = Landings(event_lines(spark, d, faults=False), "stream-replays")
+    for k in range(LANDINGS):
+        landed.land(k)
+        if k == 2:
+            landed.land(k, name="2-again")
+    keys = ("uniqueId", "recordTimestamp", "speed", "bezettingsgraad")
+    once = queries.once_per_reading(readings(landed.stream()), keys, f"{landed.delay} seconds")
+    return streams.run(once, "stream-replays").withColumn("recordTimestamp", F.unix_micros("recordTimestamp"))
+
+
+@query
+def stream_tumbling(spark, d):
+    """Averages per sensor and fixed window, from a stream that closes windows as time goes on."""
+    landed = Landings(event_lines(spark, d, faults=False), "stream-tumbling").land_all(12 * A.HOUR)
+    rows = queries.stream_tumbling(readings(landed.stream()), "12 hours", f"{landed.delay} seconds")
+    return streams.run(rows, "stream-tumbling").withColumn("windowStart", F.unix_micros("windowStart"))
+
+
+@query
+def time_probe(spark, d):
+    """Per batch of a stream: readings, and whether event, arrival and processing follow each other."""
+    landed = Landings(event_lines(spark, d, faults=False), "time-probe")
+    for k in range(LANDINGS):
+        landed.land(k)
+    path = f"{landed.folder}/probe"
+
+    def probe(batch: DataFrame, batch_id: int) -> None:
+        lags = queries.lag_quantiles(batch).withColumn("batch", F.lit(batch_id))
+        lags.write.mode("overwrite").parquet(f"{path}/batch-{batch_id}")
+
+    lines = landed.stream(FILES)
+    timed = queries.with_times(lines.withColumn("at", F.timestamp_micros(F.col("us").cast("long"))), "at")
+    queries.start(timed, probe, f"{landed.folder}/checkpoint", trigger=None).awaitTermination()
+    found = spark.read.parquet(f"{path}/batch-*")
+    return found.select("readings", F.col("batch").cast("int").alias("batch"), (
+        (F.array_min("arrivalLagQuantiles") > 0) & (F.array_min("processingLagQuantiles") >= 0)).alias("in_order"))
+
+
+@query
+def restarted_averages(spark, d):
+    """Row windows that begin anew each hour and each day."""
+    rows = A.measurements(spark, d)
+    for unit, n in (("hour", 2), ("day", 10)):
+        rows = windows.restarted_average(rows, "speed", "uniqueId", "recordTimestamp", n, unit, f"per_{unit}")
+    return rows
+
+
+@query
+def geojson_document(spark, d):
+    """The map as one written document, read back."""
+    path = storage.work_folder(spark, "geojson")
+    files.write_geojson(A.station_config(spark, d), path, MAP_STATIONS)
+    return spark.read.option("wholetext", True).text(path).select(F.rtrim("value", F.lit("\n")).alias("value"))
+
+
 @query
 def corrupt_events(spark, d):
     """Event lines read once and written twice: usable events, and lines that are no JSON."""

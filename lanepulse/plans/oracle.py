@@ -253,6 +253,10 @@ def build(allowed: str, map_stations: tuple[str, ...]) -> dict[str, str]:
     map_ids = ", ".join(f"'{i}'" for i in map_stations)
     change = "uniqueId, originalRecordTimestamp, previousSpeed, speed AS currentSpeed"
     bad_line = f"{I.TRUNCATED} OR {I.NO_SENSOR} OR {I.NO_NUMBER}"
+    def restarted(unit: str, rows: int) -> str:
+        return f"""CAST(trunc(avg(reading) OVER (PARTITION BY uniqueId, date_trunc('{unit}', ts)
+            ORDER BY ts, reading NULLS FIRST ROWS {rows} PRECEDING)) AS INTEGER) AS per_{unit}"""
+
     first_half = "epoch_us(ts) < (SELECT (min(epoch_us(ts)) + max(epoch_us(ts))) // 2 FROM events)"
     images = ", ".join(f"old.{c} AS old_{c}, new.{c} AS new_{c}" for c in S.STATE.fieldNames() if c not in S.STATE_KEYS)
     sql = {
@@ -459,6 +463,23 @@ def build(allowed: str, map_stations: tuple[str, ...]) -> dict[str, str]:
             CASE WHEN NOT bad THEN rekendata_bezettingsgraad END AS rekendata_bezettingsgraad,
             CASE WHEN bad THEN substr('{{"beschrijvende_id":"' || beschrijvende_id || '","unieke_id', 1,
                 {I.LINE_LENGTH}) END AS line FROM lines""",
+        "stream_late_rows": f"""WITH {_measurements()}, s AS (
+              SELECT min(epoch_us(ts)) AS a, max(epoch_us(ts)) AS b FROM m)
+            SELECT uniqueId, reading AS speed, occ AS bezettingsgraad, epoch_us(ts) AS recordTimestamp,
+            event_id % {I.LATE} = 9 AND epoch_us(ts) < a + (b - a) * 3 // 6 AS late FROM m, s""",
+        "stream_replays": f"""WITH {_measurements()} SELECT DISTINCT uniqueId, reading AS speed,
+            occ AS bezettingsgraad, epoch_us(ts) AS recordTimestamp FROM m""",
+        "stream_tumbling": f"""WITH {_measurements()} SELECT uniqueId,
+            epoch_us(ts) // 43200000000 * 43200000000 AS windowStart,
+            CAST(trunc(avg(reading)) AS INTEGER) AS avgSpeed, CAST(trunc(avg(occ)) AS INTEGER) AS avgOccupancy,
+            count(*) AS readings FROM m GROUP BY ALL""",
+        "time_probe": f"""WITH {_measurements()}, s AS (
+              SELECT min(epoch_us(ts)) AS a, max(epoch_us(ts)) AS b FROM m),
+            k AS (SELECT max(g.i) AS batch FROM m, s, range({I.LANDINGS}) AS g(i)
+              WHERE g.i = 0 OR epoch_us(ts) >= a + (b - a) * g.i // {I.LANDINGS} GROUP BY event_id)
+            SELECT CAST(batch AS INTEGER) AS batch, count(*) AS readings, true AS in_order FROM k GROUP BY batch""",
+        "restarted_averages": f"""WITH {_measurements()} SELECT uniqueId, reading AS speed, occ AS bezettingsgraad,
+            ts AS recordTimestamp, {restarted("hour", 2)}, {restarted("day", 10)} FROM m""",
         "table_change_feed": f"""WITH old AS ({_flagged(where=first_half)}{_STATE} SELECT * FROM state),
             new AS ({f}{_STATE} SELECT * FROM state WHERE CAST(uniqueId AS INTEGER) % 7 <> 0)
             SELECT coalesce(old.uniqueId, new.uniqueId) AS uniqueId,
@@ -494,6 +515,7 @@ def build(allowed: str, map_stations: tuple[str, ...]) -> dict[str, str]:
         "stream_state_table": "latest_state",
         "stream_restart": "latest_state",
         "stream_rate_limited": "speed_profile",
+        "geojson_document": "geojson_collection",
         "stream_consumer_state": "latest_state",
         "stream_consumer_restart": "latest_state",
         "stream_notifications": "notification_table",

@@ -79,6 +79,10 @@ class Intake:
     rows. ``files`` limits the files of a staged batch, for readers that need its rows in
     one micro-batch; by default Spark decides. Quarantined rows keep all their columns,
     with ``reason`` (a check's name, or ``failed``) and ``error``.
+
+    ``late``: a time column of the readings and seconds. Readings that are older than the
+    newest one of earlier batches by more go to ``late_rows`` instead, as the watermark of
+    the query behind would drop them; a reading without a time is not late.
     """
 
     root: str
@@ -86,6 +90,7 @@ class Intake:
     checks: Mapping[str, str] = field(default_factory=dict)
     retries: int = 2
     files: int | None = None
+    late: tuple[str, int] | None = None
 
     @property
     def staged(self) -> str:
@@ -95,6 +100,14 @@ class Intake:
     def quarantine(self) -> str:
         return f"{self.root.rstrip('/')}/quarantine"
 
+    @property
+    def late_rows(self) -> str:
+        return f"{self.root.rstrip('/')}/late"
+
+    def _newest(self, spark: SparkSession, batch_id: int) -> str:
+        """Where the newest time up to a batch is kept, in microseconds."""
+        return f"{self.root.rstrip('/')}/newest/{batch_folder(spark, batch_id)}"
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         name = batch_folder(spark, batch_id)
@@ -109,9 +122,11 @@ class Intake:
             bad = [rows.where(F.col(REASON).isNotNull()).withColumn(ERROR, F.lit(None).cast("string"))]
             error = self._tried(usable, f"{attempt}/whole", self.retries)
             parts = [f"{attempt}/whole"] if error is None else self._cut(usable, f"{attempt}/parts", error, bad)
-            self._publish(spark, parts, usable, f"{attempt}/staged", bad, f"{attempt}/quarantine")
+            self._publish(spark, parts, usable, attempt, bad, batch_id)
             # the staged folder comes last: with it, the batch is done
             storage.move(spark, f"{attempt}/quarantine", f"{self.quarantine}/{name}")
+            if self.late is not None:
+                storage.move(spark, f"{attempt}/late", f"{self.late_rows}/{name}")
             storage.move(spark, f"{attempt}/staged", f"{self.staged}/{name}")
         finally:
             rows.unpersist()
@@ -150,18 +165,34 @@ class Intake:
                     todo.append((finer, own, error))
         return good
 
-    def _publish(self, spark: SparkSession, parts: list[str], usable: DataFrame, staged: str,
-                 bad: list[DataFrame], quarantine: str) -> None:
-        if self.files is None and len(parts) == 1 and parts[0].endswith("/whole"):
-            storage.move(spark, parts[0], staged)
-        else:
-            schema = self.prepare(usable).schema
-            found = spark.read.schema(schema).parquet(*parts) if parts else spark.createDataFrame([], schema)
-            (found if self.files is None else found.coalesce(self.files)).write.parquet(staged)
+    def _publish(self, spark: SparkSession, parts: list[str], usable: DataFrame, attempt: str,
+                 bad: list[DataFrame], batch_id: int) -> None:
         rows = bad[0]
         for more in bad[1:]:
             rows = rows.unionByName(more)
-        rows.write.parquet(quarantine)
+        rows.write.parquet(f"{attempt}/quarantine")
+        if self.files is None and self.late is None and len(parts) == 1 and parts[0].endswith("/whole"):
+            storage.move(spark, parts[0], f"{attempt}/staged")
+            return
+        schema = self.prepare(usable).schema
+        found = spark.read.schema(schema).parquet(*parts) if parts else spark.createDataFrame([], schema)
+        if self.late is not None:
+            found = self._split_late(spark, found, f"{attempt}/late", batch_id)
+        (found if self.files is None else found.coalesce(self.files)).write.parquet(f"{attempt}/staged")
+
+    def _split_late(self, spark: SparkSession, found: DataFrame, path: str, batch_id: int) -> DataFrame:
+        """Writes the late readings; returns the others."""
+        time_col, seconds = self.late
+        known = storage.read_text(spark, self._newest(spark, batch_id - 1))
+        us = F.unix_micros(time_col)
+        newest = found.agg(F.max(us)).first()[0]
+        newest = max((int(x) for x in (known, newest) if x is not None), default=None)
+        storage.delete(spark, self._newest(spark, batch_id))
+        if newest is not None:
+            storage.write_text(spark, self._newest(spark, batch_id), str(newest))
+        late = F.lit(False) if known is None else F.coalesce(us < int(known) - seconds * 1_000_000, F.lit(False))
+        found.where(late).write.parquet(path)
+        return found.where(~late)
 
     def read_staged(self, spark: SparkSession, schema: T.StructType, max_files: int | None = None) -> DataFrame:
         """The staged readings as a stream, batch after batch."""
@@ -170,6 +201,10 @@ class Intake:
             reader = reader.option("maxFilesPerTrigger", max_files)
         return reader.parquet(self.staged)
 
+    def read_late(self, spark: SparkSession, schema: T.StructType) -> DataFrame:
+        """All late readings."""
+        return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(self.late_rows)
+
     def read_quarantine(self, spark: SparkSession, schema: T.StructType) -> DataFrame:
         """All quarantined rows; ``schema`` is that of the raw rows."""
         fields = [*schema.fields, T.StructField(REASON, T.StringType()), T.StructField(ERROR, T.StringType())]

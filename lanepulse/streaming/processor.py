@@ -60,25 +60,36 @@ PROFILE = T.StructType([
 ])
 
 
-def _averages(total: np.ndarray, n: np.ndarray) -> list[int | None]:
-    """Integer averages rounded towards zero; None where nothing was counted."""
+Masked = tuple[np.ndarray, np.ndarray]
+
+
+def _averages(total: np.ndarray, n: np.ndarray) -> Masked:
+    """Integer averages rounded towards zero, and where there is none (nothing was counted)."""
     safe = np.where(n == 0, 1, n)
-    value = np.sign(total) * (np.abs(total) // safe)
-    return [int(v) if k else None for v, k in zip(value, n)]
+    return np.sign(total) * (np.abs(total) // safe), n == 0
+
+
+def _shifted(values: Masked, value: int | None) -> Masked:
+    """Values moved on by one place, with ``value`` in the first."""
+    first = 0 if value is None else value
+    return (np.concatenate([[first], values[0][:-1]]), np.concatenate([[value is None], values[1][:-1]]))
+
 
+def _known(values: np.ndarray) -> Masked:
+    return values, np.zeros(len(values), bool)
 
-def _column(values: tuple, dtype: T.DataType) -> pd.arrays.IntegerArray:
-    kind = np.int64 if isinstance(dtype, T.LongType) else np.int32
-    return pd.arrays.IntegerArray(
-        np.array([0 if v is None else v for v in values], dtype=kind),
-        np.array([v is None for v in values], dtype=bool))
 
+def _frame(columns: dict[str, Masked], rows: slice) -> pd.DataFrame:
+    def column(f: T.StructField) -> pd.arrays.IntegerArray:
+        values, missing = (x[rows] for x in columns[f.name])
+        kind = np.int64 if isinstance(f.dataType, T.LongType) else np.int32
+        return pd.arrays.IntegerArray(np.where(missing, 0, values).astype(kind), missing.copy())
 
-def _frame(rows: list[tuple]) -> pd.DataFrame:
-    return pd.DataFrame({
-        f.name: _column(values, f.dataType)
-        for f, values in zip(PROFILE.fields, zip(*rows))
-    })
+    return pd.DataFrame({f.name: column(f) for f in PROFILE.fields})
+
+
+def _item(values: Masked, i: int) -> int | None:
+    return None if values[1][i] else int(values[0][i])
 
 
 class SpeedProcessor(StatefulProcessor):
@@ -89,18 +100,15 @@ class SpeedProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("sensor", _STATE)
 
-    def _jam(self, avg: int | None, occupancy: int | None) -> int:
-        if avg is not None and 0 <= avg <= self.low and occupancy not in (None, 0):
-            return 1
-        if (avg is not None and self.low < avg <= self.high) or occupancy == 0:
-            return 0
-        return -1
+    def _jam(self, avg: Masked, occupancy: Masked) -> np.ndarray:
+        known, free = ~avg[1], ~occupancy[1] & (occupancy[0] == 0)
+        slow = known & (avg[0] >= 0) & (avg[0] <= self.low) & ~occupancy[1] & ~free
+        fast = known & (avg[0] > self.low) & (avg[0] <= self.high)
+        return np.where(slow, 1, np.where(fast | free, 0, -1))
 
-    def _change(self, now: int | None, before: int | None) -> int:
-        if now is None or before is None:
-            return 0
-        diff = now - before
-        return 1 if diff >= self.threshold else -1 if diff <= -self.threshold else 0
+    def _change(self, now: Masked, before: Masked) -> np.ndarray:
+        diff = np.where(now[1] | before[1], 0, now[0] - before[0])
+        return np.where(diff >= self.threshold, 1, np.where(diff <= -self.threshold, -1, 0))
 
     def handleInputRows(
         self, key, rows: Iterator[pd.DataFrame], timerValues
@@ -126,36 +134,50 @@ class SpeedProcessor(StatefulProcessor):
         counts = np.concatenate([[0], np.cumsum(n)])
         end = np.arange(first, len(us)) + 1
 
-        def sliding(width: int) -> list[int | None]:
+        def sliding(width: int) -> Masked:
             start = np.searchsorted(us, us[first:] - width, side="left")
             return _averages(sums[end] - sums[start], counts[end] - counts[start])
 
+        at, copies = us[first:], arrived("copies")
         speed = _averages(total[first:], n[first:])
         occupancy = _averages(arrived("occupancy_sum"), arrived("occupancy_n"))
         short, long = sliding(self.short), sliding(self.long)
-
-        out = []
-        for i, (at, copies) in enumerate(zip(us[first:], arrived("copies"))):
-            before = last if seen else speed[i]
-            jam = self._jam(short[i], occupancy[i])
-            change = self._change(speed[i], before)
-            out.append((
-                sensor, speed[i], occupancy[i], int(at), short[i], long[i], before,
-                jam, change, int(copies), jam_ms, jam_speed, jam_flag, diff_flag,
-            ))
-            if jam != jam_flag:
-                jam_ms, jam_speed, jam_flag = int(at) // 1000, speed[i], jam
-            # A further copy of the instant has its own speed before it.
-            diff_flag = 0 if copies > 1 else change
-            last, seen = speed[i], True
-
+        before = _shifted(speed, last if seen else _item(speed, 0))
+        jam, change = self._jam(short, occupancy), self._change(speed, before)
+        # a further copy of the instant has its own speed before it
+        left = np.where(copies > 1, 0, change)
+        stored_flag, stored_diff = _shifted(_known(jam), jam_flag), _shifted(_known(left), diff_flag)
+
+        # the stored jam item is that of the last instant whose flag was new
+        new_flag = stored_flag[1] | (stored_flag[0] != jam)
+        newest = np.maximum.accumulate(np.where(new_flag, np.arange(len(at)), -1))
+        of = np.concatenate([[-1], newest[:-1]])
+        earlier = of < 0
+
+        def stored_item(values: Masked, value: int | None) -> Masked:
+            found = (np.where(earlier, 0 if value is None else value, values[0][of]),
+                     np.where(earlier, value is None, values[1][of]))
+            return found
+
+        sensors = (np.full(len(at), sensor or 0), np.full(len(at), sensor is None))
+        columns = {
+            "uniqueId": sensors, "speed": speed, "bezettingsgraad": occupancy, "recordMicros": _known(at),
+            "avgSpeed3Minutes": short, "avgSpeed10Minutes": long, "previousSpeed": before,
+            "trafficJamIndicator": _known(jam), "speedDiffIndicator": _known(change), "copies": _known(copies),
+            "storedJamTimestamp": stored_item(_known(at // 1000), jam_ms),
+            "storedJamSpeed": stored_item(speed, jam_speed),
+            "storedJamIndicator": stored_flag, "storedDiffIndicator": stored_diff,
+        }
+        if newest[-1] >= 0:
+            k = int(newest[-1])
+            jam_ms, jam_speed, jam_flag = int(at[k]) // 1000, _item(speed, k), int(jam[k])
         keep = us >= us[-1] - self.long
         self.state.update((
             us[keep].tolist(), total[keep].tolist(), n[keep].tolist(),
-            last, jam_ms, jam_speed, jam_flag, diff_flag,
+            _item(speed, -1), jam_ms, jam_speed, jam_flag, int(left[-1]),
         ))
-        for begin in range(0, len(out), CHUNK):
-            yield _frame(out[begin:begin + CHUNK])
+        for begin in range(0, len(at), CHUNK):
+            yield _frame(columns, slice(begin, begin + CHUNK))
 
     def close(self) -> None:
         pass

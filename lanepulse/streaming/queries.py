@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -76,6 +76,43 @@ def stream_speed_profile(
     )
 
 
+def once_per_reading(sdf: DataFrame, keys: Sequence[str], delay: str) -> DataFrame:
+    """Readings without those that a sender repeats within ``delay``."""
+    return sdf.withWatermark("recordTimestamp", delay).dropDuplicatesWithinWatermark(list(keys))
+
+
+def stream_tumbling(sdf: DataFrame, width: str = "2 minutes", delay: str = "10 minutes") -> DataFrame:
+    """Average speed and occupancy per sensor and window of fixed length, once it is closed.
+
+    A window starts anew each ``width`` since 1970-01-01 UTC; readings without a time have none.
+    """
+    timed = sdf.where(F.col("recordTimestamp").isNotNull()).withWatermark("recordTimestamp", delay)
+    grouped = timed.groupBy(F.window("recordTimestamp", width).alias("w"), "uniqueId").agg(
+        F.sum("speed").alias("speed"), F.count("speed").alias("n"), F.sum("bezettingsgraad").alias("occupancy"),
+        F.count("bezettingsgraad").alias("m"), F.count(F.lit(1)).alias("readings"))
+    return grouped.select(
+        "uniqueId", F.col("w.start").alias("windowStart"), F.expr("int(speed div nullif(n, 0))").alias("avgSpeed"),
+        F.expr("int(occupancy div nullif(m, 0))").alias("avgOccupancy"), "readings")
+
+
+def with_times(sdf: DataFrame, event_time: str = "recordTimestamp", now_ms: int | None = None) -> DataFrame:
+    """The times of a row of a file stream: event, arrival (of its file) and processing, and the lags in ms.
+
+    ``now_ms`` fixes the processing time for repeatable runs.
+    """
+    arrived = F.unix_millis("_metadata.file_modification_time")
+    timed = sdf.withColumns({"arrivalMillis": arrived, "processingMillis": times.now_epoch_millis(now_ms)})
+    return timed.withColumns({
+        "arrivalLag": F.col("arrivalMillis") - F.unix_millis(event_time),
+        "processingLag": F.col("processingMillis") - F.col("arrivalMillis")})
+
+
+def lag_quantiles(timed: DataFrame, at: Sequence[float] = (0.5, 0.9, 0.99)) -> DataFrame:
+    """One row: readings, and quantiles of both lags; for the batches of ``with_times``."""
+    return timed.agg(F.count(F.lit(1)).alias("readings"), *(
+        F.percentile_approx(c, list(at)).alias(f"{c}Quantiles") for c in ("arrivalLag", "processingLag")))
+
+
 def observe_arrivals(sdf: DataFrame, name: str = "arrivals") -> DataFrame:
     """Count readings and untimed ones per batch; the query's progress shows them.
 
