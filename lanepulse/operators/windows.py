@@ -111,15 +111,24 @@ def speed_profile(
     return _profile(placed, short, long)
 
 
+#: Copies of an instant that are given back at once.
+PORTION = 4_096
+
+
 def repeat_copies(profile: DataFrame, at_most: int | None = None) -> DataFrame:
     """One row per reading, ``position`` counting the copies from 0.
 
     ``at_most=2`` keeps what change detection needs: the first reading of an
     instant and one that follows it; all later ones equal the second.
     """
-    copies = F.col("copies") if at_most is None else F.least("copies", F.lit(at_most))
-    return _as_readings(
-        profile.withColumn("position", F.explode(F.sequence(F.lit(0), copies - 1))))
+    if at_most is not None:
+        few = F.sequence(F.lit(0), F.least("copies", F.lit(at_most)) - 1)
+        return _as_readings(profile.withColumn("position", F.explode(few)))
+    # in portions, so that no array is as long as an instant has copies
+    first = F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(PORTION).cast("long"))
+    last = F.least(F.col("_first") + PORTION, F.col("copies")) - 1
+    portions = profile.withColumn("_first", F.explode(first))
+    return _as_readings(portions.withColumn("position", F.explode(F.sequence("_first", last))).drop("_first"))
 
 
 def _as_readings(df: DataFrame) -> DataFrame:
@@ -142,8 +151,8 @@ def speed_readings(
 ) -> DataFrame:
     """All sliding values, one row per input row.
 
-    Copies are given back last, row by row as they are written, so an instant
-    with very many of them needs no memory for them.
+    Copies are given back last, in portions as they are written, so an instant
+    with very many of them needs memory for a portion only.
     """
     placed = _placed(df, key, ts, speed, occupancy, short, long, slice_seconds)
     return repeat_copies(_profile(placed, short, long))

@@ -22,7 +22,7 @@ from lanepulse.plans import streams, traffic
 from lanepulse.sinks import files, tables
 from lanepulse.sources import events, snapshots
 from lanepulse.sources import tables as scans
-from lanepulse.streaming import consumers, queries
+from lanepulse.streaming import consumers, queries, stagger
 from lanepulse.streaming.intake import Intake, start_bound
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -232,6 +232,15 @@ def stream_tumbling(spark, d):
     return streams.run(rows, "stream-tumbling").withColumn("windowStart", F.unix_micros("windowStart"))
 
 
+@query
+def stream_stagger(spark, d):
+    """Averages over windows that each sensor's readings open themselves."""
+    landed = Landings(event_lines(spark, d, faults=False), "stream-stagger").land_all(12 * A.HOUR)
+    rows = stagger.stagger_windows(readings(landed.stream()), 12 * A.HOUR, f"{landed.delay} seconds")
+    return streams.run(rows, "stream-stagger").where("uniqueId <> -1") \
+        .withColumn("windowStart", F.unix_micros("windowStart"))
+
+
 @query
 def time_probe(spark, d):
     """Per batch of a stream: readings, and whether event, arrival and processing follow each other."""

@@ -473,6 +473,16 @@ def build(allowed: str, map_stations: tuple[str, ...]) -> dict[str, str]:
             epoch_us(ts) // 43200000000 * 43200000000 AS windowStart,
             CAST(trunc(avg(reading)) AS INTEGER) AS avgSpeed, CAST(trunc(avg(occ)) AS INTEGER) AS avgOccupancy,
             count(*) AS readings FROM m GROUP BY ALL""",
+        "stream_stagger": f"""WITH RECURSIVE {_measurements()},
+            step AS (SELECT DISTINCT uniqueId, ts, min(ts) OVER (PARTITION BY uniqueId ORDER BY ts RANGE BETWEEN
+              INTERVAL 12 HOUR FOLLOWING AND UNBOUNDED FOLLOWING) AS after FROM m),
+            w(uniqueId, start) AS (
+              SELECT uniqueId, min(ts) FROM m GROUP BY uniqueId
+              UNION ALL SELECT s.uniqueId, s.after FROM w JOIN step s ON s.uniqueId = w.uniqueId AND s.ts = w.start
+              WHERE s.after IS NOT NULL)
+            SELECT w.uniqueId, epoch_us(start) AS windowStart, CAST(trunc(avg(reading)) AS INTEGER) AS avgSpeed,
+            count(*) AS readings FROM w JOIN m ON m.uniqueId = w.uniqueId AND m.ts >= start
+              AND m.ts < start + INTERVAL 12 HOUR GROUP BY w.uniqueId, start""",
         "time_probe": f"""WITH {_measurements()}, s AS (
               SELECT min(epoch_us(ts)) AS a, max(epoch_us(ts)) AS b FROM m),
             k AS (SELECT max(g.i) AS batch FROM m, s, range({I.LANDINGS}) AS g(i)
