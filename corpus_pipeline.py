@@ -6,6 +6,9 @@ rereads it before the next. All but the last return the columns of ``documents``
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,11 +16,38 @@ from lanepulse.llm import decontamination, jaccard_join, line_dedup, mixing, qua
 from lanepulse.llm.common import table, words, written
 
 
+#: What a stage reads; all other columns travel through it in one.
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def _carried(stage: Stage) -> Stage:
+    """``stage`` for tables with more columns, whatever their names.
+
+    They come back as they were; a column that the stage adds replaces one of that name.
+    """
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        more = [c for c in docs.columns if c not in COLUMNS]
+        if not more:
+            return stage(spark, docs, sf_dir)
+        packed = F.struct(*(F.col(f"`{c}`") for c in more)).alias("other_columns")
+        out = stage(spark, docs.select(*COLUMNS, packed), sf_dir)
+        added = [c for c in out.columns if c not in (*COLUMNS, "other_columns")]
+        own = [F.col("other_columns").getField(c).alias(c) if c in more else F.col(c)
+               for c in docs.columns if c not in added]
+        return out.select(*own, *added)
+
+    return run
+
+
+@_carried
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the newest policy keep."""
     return quality_rules.apply_policy(quality_rules.ledger(docs), "v2").select(docs.columns)
 
 
+@_carried
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without lines that a document with a smaller id holds; no document goes."""
     left = line_dedup.dedup_lines(docs)
@@ -26,6 +56,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     }).select(docs.columns)
 
 
+@_carried
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The smallest row of each group of near copies, by id (null is last) and hash of the text.
 
@@ -41,6 +72,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return single.unionByName(alike.select("r.*"))
 
 
+@_carried
 def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows in which no benchmark item has leaked, whatever leaked into others with their id."""
     key = F.concat_ws(":", F.col("doc_id").cast("string"), F.md5(F.coalesce("text", F.lit(""))))
@@ -48,17 +80,20 @@ def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return decontamination.clean(keyed, table(spark, sf_dir, "benchmark"), "_key").select(docs.columns)
 
 
+@_carried
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of the mix, with ``taken``, their words times repetitions, and ``repeats``.
 
-    ``repeats`` is 1.25, say, for a text that is taken once and another quarter of it.
+    ``repeats`` is 1.25, say, for a text that is taken once and another quarter of it. Rows
+    are told apart by id and text; rows alike in both are taken alike.
     """
-    keys = ("doc_id", "source", "size")
-    taken = mixing.mix(docs).filter("taken > 0").groupBy(*keys).agg(F.max("taken").alias("taken")) \
-        .withColumnsRenamed({k: f"_{k}" for k in keys})
-    sized = docs.withColumn("size", F.size(words(F.col("text"))).cast("long"))
-    on = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    return sized.join(taken, on).select(
+    key = F.concat_ws(":", F.col("doc_id").cast("string"), F.md5(F.coalesce("text", F.lit(""))))
+    keyed = docs.withColumn("_key", key).withColumn("size", F.size(words(F.col("text"))).cast("long"))
+    keys = ("_key", "source")
+    taken = mixing.mix(keyed, "_key").filter("taken > 0").groupBy(*keys).agg(F.max("taken").alias("taken")) \
+        .withColumnsRenamed({k: f"_of{k}" for k in keys})
+    on = [F.col(k).eqNullSafe(F.col(f"_of{k}")) for k in keys]
+    return keyed.join(taken, on).select(
         *docs.columns, "taken", (F.col("taken") / F.col("size")).alias("repeats"))
 
 
