@@ -5,6 +5,7 @@ import hashlib
 import math
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -297,6 +298,28 @@ def test_language_id(spark, docs, no_docs, odd_docs):
     assert {r.lang_pred for r in language_id.predict(docs, nothing).collect()} == {"und"}
 
 
+def test_language_of_odd_letters_and_long_words(spark):
+    """Numerals are no letters; words of any length count whole and do not vanish."""
+    path = tokenizer("piece_bpe_32k.model")
+    rows = [(i, "the house and the garden of this family are old" if i % 2 else
+             "das Haus und der Garten dieser Familie sind alt", "en" if i % 2 else "de") for i in range(40)]
+    model = language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), path)
+    cases = ["½ ² Ⅳ 12", "x²garden", "Garten" * 40, "garden" * 40, "\u0e01" * 3000, "Haus" * 2000]
+    assert language_id.words_of(cases[1]) == ["x", "garden"]
+    found = by_id(language_id.predict(spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string"), model))
+    assert [found[i].lang_pred for i in (0, 2, 3, 5)] == ["und", "de", "en", "de"]
+    scorer = language_id.Scorer(model)
+    long = scorer.words(["garden" * 400])[0]
+    assert np.isfinite(long).all() and long.max() < -700 and long[1] > long[0]
+
+
+def test_language_learned_from_rows_without_words(spark):
+    path = tokenizer("piece_bpe_32k.model")
+    empty = spark.createDataFrame([(1, "12", "en"), (2, None, "de")], "doc_id long, text string, lang string")
+    model = language_id.fit(empty, path)
+    assert {r.lang_pred for r in language_id.predict(empty, model).collect()} == {"und"}
+
+
 # --- toxicity ---------------------------------------------------------------
 
 def test_clause_grammar():

@@ -75,3 +75,25 @@ def test_rows_without_an_id_are_decided_one_by_one(spark, tmp_path):
         [rows[k] for k in (0, 2, 4, 6, 7, 8, 9, 10)], key=str)
     assert kept(corpus_pipeline.leaks(spark, docs, str(tmp_path))) == sorted(
         [r for k, r in enumerate(rows) if k not in (4, 8)], key=str)
+
+
+def test_more_columns_of_any_name_come_back(spark, odd_docs, tmp_path):
+    """Columns named as the stages name their own, null and repeated ids, empty and repeated texts."""
+    from pyspark.sql import functions as F
+
+    names = ("_row", "_doc", "_text", "_key", "taken", "size", "copies", "kept_text", "n_words", "_keep", "r", "tokens")
+    long = "a much longer text of the corpus that has words enough to stay in it whatever comes " * 6
+    docs = odd_docs.withColumn("n_chars", F.length("text").cast("long")).select(
+        "doc_id", "text", "lang", "source", "n_chars", *(F.monotonically_increasing_id().alias(c) for c in names))
+    docs = docs.withColumn("text", F.when(F.col("doc_id") == 5, F.concat(F.lit(long), "text")).otherwise(F.col("text")))
+    spark.createDataFrame([(1, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    plain = docs.select(*corpus_pipeline.COLUMNS)
+    for name, stage in corpus_pipeline.STAGES:
+        left = stage(spark, docs, str(tmp_path))
+        assert set(docs.columns) <= set(left.columns), name
+        if name != "mixing":
+            assert left.columns == docs.columns
+        expected = stage(spark, plain, str(tmp_path)).select(*corpus_pipeline.COLUMNS).collect()
+        assert sorted(left.select(*corpus_pipeline.COLUMNS).collect(), key=str) == sorted(expected, key=str), name
+        kept = {r["_row"] for r in left.collect()}
+        assert len(kept) == len(expected)  # each row has its own values
