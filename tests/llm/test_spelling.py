@@ -70,7 +70,7 @@ def test_word_counts_of_odd_rows(spark, odd_docs, no_docs):
     assert spelling.variants(spelling.word_counts(no_docs)).count() == 0
 
 
-@pytest.mark.parametrize("alphabet", ["ab", "abcé", "abcdefgh"])
+@pytest.mark.parametrize("alphabet", ["ab", "abcdeé"])
 def test_dense_vocabularies(spark, alphabet):
     """Runs of equal letters, words of one letter, edits at both ends, chains of forms."""
     pick = random.Random(len(alphabet))
