@@ -4,14 +4,11 @@ import json
 import os
 import time
 
-import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lanepulse import schemas as S
-from lanepulse import storage
 from lanepulse.operators import changes
-from lanepulse.plans import intake_streams
 from lanepulse.sinks import files
 from lanepulse.sources import events, snapshots, tables
 from lanepulse.streaming import batches, consumers, queries
@@ -256,14 +253,3 @@ def test_archive_by_day_replaces_its_own_batch_and_prunes(spark, tmp_path, new_y
     assert sorted(map(str, files.read_archive(spark, path, schema).where("day = DATE '1970-01-02'").collect())) == before
     kept = [f for _, _, fs in os.walk(f"{path}/day=1970-01-02") for f in fs if f.endswith(".json") or f.endswith(".txt")]
     assert len(kept) == 1
-
-
-def test_streams_of_the_catalog_run_several_batches(spark):
-    folder = "/root/testdata/sf0.001"
-    if not os.path.isdir(folder):
-        pytest.skip("driver tables not present")
-    landed = intake_streams.Landings(intake_streams.event_lines(spark, folder, faults=True), "test").land_all()
-    query = queries.start(landed.stream(), landed.intake(), f"{landed.folder}/c", trigger=None)
-    query.awaitTermination()
-    assert len([p for p in query.recentProgress if p.numInputRows]) >= 4
-    assert storage.exists(spark, landed.intake().staged)
