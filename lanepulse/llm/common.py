@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanepulse.storage import work_folder
+from lanepulse.storage import delete, work_folder
 
 #: White space of the word and line rules: tab to carriage return, and space.
 SPACE = " \t\n\x0b\f\r"
@@ -34,17 +34,52 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, purpose: str, free: bool = False) -> DataFrame:
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written(df: DataFrame, purpose: str, *replaces: DataFrame) -> DataFrame:
     """``df`` as a table in the shared folder: cuts lineage, survives lost executors.
 
-    Spark drops the shuffle files behind the table when the driver's JVM collects its
-    garbage, which it rarely needs to. ``free`` asks for that, after large shuffles.
+    Spark drops the shuffle files behind it once it is there, instead of keeping them for
+    as long as the driver's memory lasts. Tables of ``replaces`` that were made here are deleted once it is there; nothing may
+    read them afterwards.
     """
     spark, schema, path = df.sparkSession, df.schema, work_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
-    if free:
-        spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(schema).parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+    for old in replaces:
+        discard(old)
+    out = spark.read.schema(schema).parquet(path)
+    out.work_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes working tables that nothing reads any more."""
+    for df in tables:
+        if (path := getattr(df, "work_path", None)) is not None:
+            delete(df.sparkSession, path)
+
+
+#: Bits of a sketch; as 64-bit words it is a table of at most 4 MB.
+SKETCH_BITS = 2**24
+
+
+def likely(rows: DataFrame, among: DataFrame, col: str) -> DataFrame:
+    """Rows whose ``col`` may be in ``among``; the rest is dropped before it is shuffled.
+
+    A sketch of ``SKETCH_BITS`` bits is broadcast, whatever the size of ``among``. Some rows
+    that are not there remain, more the larger it is; a join must follow.
+    """
+    at = F.pmod(F.xxhash64(F.lit(11), F.col(col)), F.lit(SKETCH_BITS))
+    bit = F.expr("shiftleft(1L, int(_at % 64))")
+    words = among.select(at.alias("_at")).groupBy(F.expr("_at div 64").alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+    placed = rows.withColumn("_at", at).withColumn("_word", F.expr("_at div 64"))
+    return placed.join(F.broadcast(words), "_word").where(F.col("_bits").bitwiseAND(bit) != 0).select(*rows.columns)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -35,5 +35,5 @@ def components(links: DataFrame) -> DataFrame:
         both = both.unionByName(links.select(F.col("b").alias("u"), F.col("a").alias("v")))
         large = _star(both, large=True)
         small = large.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-        links = written(_star(small, large=False), "links")
+        links = written(_star(small, large=False), "links", links)
     return links

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lanepulse.llm import shingles
-from lanepulse.llm.common import LAST_ID, written
+from lanepulse.llm.common import LAST_ID, discard, likely, written
 from lanepulse.llm.components import components
 
 #: Frequent shingles known to all tasks: half a megabyte.
@@ -352,20 +352,22 @@ def _seats(members: DataFrame, guests: DataFrame) -> DataFrame:
     A row for each member (place, node, n) at each table of its chunk, and for each
     guest at one. A chunk whose guests are too many for a task gets several tables.
     """
-    tables = written(guests.groupBy("place").agg(
-        F.ceil(F.sum("n") / F.lit(MEETING)).cast("int").alias("tables")), "join-tables")
+    tables = guests.groupBy("place").agg(F.ceil(F.sum("n") / F.lit(MEETING)).cast("int").alias("tables"))
     hosts = members.join(tables, "place").select(
         "place", F.explode(F.sequence(F.lit(0), F.col("tables") - 1)).alias("salt"), "node",
         F.lit(True).alias("host"), F.lit(False).alias("guest"))
     seated = guests.join(tables, "place").select(
         "place", F.pmod(F.xxhash64(F.lit(1), "node"), F.col("tables")).cast("int").alias("salt"), "node",
         F.lit(False).alias("host"), F.lit(True).alias("guest"))
-    return hosts.unionByName(seated).groupBy("place", "salt", "node").agg(
-        F.max("host").alias("host"), F.max("guest").alias("guest"))
+    return written(hosts.unionByName(seated).groupBy("place", "salt", "node").agg(
+        F.max("host").alias("host"), F.max("guest").alias("guest")), "join-seats")
 
 
 def _seated(source: DataFrame, seats: DataFrame, length: int) -> DataFrame:
-    """``seats`` with ``shingles``: sets are made from the texts where they are needed."""
+    """``seats`` with ``shingles``: sets are made from the texts where they are needed.
+
+    Texts of documents without a seat, but for a few, are not moved.
+    """
     per_node = seats.groupBy(F.col("node").alias("doc")).agg(
         F.collect_list(F.struct("place", "salt", "host", "guest")).alias("seats"))
     seats_type = per_node.schema["seats"].dataType.simpleString()
@@ -379,16 +381,17 @@ def _seated(source: DataFrame, seats: DataFrame, length: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [doc.slice(a, b - a), lists.slice(a, b - a), sets], names=["node", "seats", "shingles"])
 
-    made = source.join(per_node, "doc").select("doc", "t", "seats").mapInArrow(
+    some = likely(source, seats.select(F.col("node").alias("doc")), "doc")
+    made = some.join(per_node, "doc").select("doc", "t", "seats").mapInArrow(
         run, f"node long, seats {seats_type}, shingles array<long>")
     return made.select("node", "shingles", F.explode("seats").alias("s")).select("node", "shingles", "s.*")
 
 
-def _headed(entries: DataFrame) -> DataFrame:
-    """Entries of lists with several nodes, with the smallest node of the list."""
+def _headed(entries: DataFrame, purpose: str) -> DataFrame:
+    """Entries of lists with several nodes, with the smallest node of the list; replaces ``entries``."""
     heads = written(entries.groupBy("shingle").agg(F.min("node").alias("head"), F.max("node").alias("high"))
                     .filter("head < high").drop("high"), "join-heads")
-    return entries.join(heads, "shingle")
+    return written(entries.join(heads, "shingle"), purpose, entries, heads)
 
 
 def heavy_links(source: DataFrame, signed: DataFrame, classes: DataFrame, length: int,
@@ -398,48 +401,51 @@ def heavy_links(source: DataFrame, signed: DataFrame, classes: DataFrame, length
     common = spark.sparkContext.broadcast(frequent(source, length))
     posted = postings(source, length, limit, least, common)
     lists = written(posted.groupBy("shingle").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
-                    .filter("low < high").select("shingle"), "join-lists", free=True)
+                    .filter("low < high").select("shingle"), "join-lists")
     # classes: (doc, node) of documents that are copies of a smaller one
     entries = written(
         posted.join(lists, "shingle").join(classes, "doc", "left")
-        .select("shingle", F.coalesce("node", "doc").alias("node"), "rank").distinct(), "join-entries", free=True)
-    entries = written(_headed(entries).drop("head"), "join-shared")
+        .select("shingle", F.coalesce("node", "doc").alias("node"), "rank").distinct(), "join-entries", lists)
+    entries = _headed(entries, "join-shared")
     sizes = signed.groupBy(F.col("doc").alias("node")).agg(F.max("n").alias("n"), F.min("n").alias("low"))
     # documents that share a passage with others, but not enough, leave here
     possible = written(_possible(entries, sizes, limit), "join-possible")
     prefix = F.expr(f"n - ({limit.num} * n + {limit.den} - 1) div {limit.den} + 1")
-    entries = entries.join(possible, "node").filter(F.col("rank") < prefix).select("shingle", "node").distinct()
-    entries = written(_headed(written(entries, "join-prefixes")), "join-families")
+    entries = written(entries.drop("head").join(possible, "node").filter(F.col("rank") < prefix)
+                      .select("shingle", "node").distinct(), "join-prefixes", entries)
+    entries = _headed(entries, "join-families")
 
     # a node's family is the smallest head of its lists; families are cut into chunks
     family = entries.groupBy("node").agg(F.min("head").alias("family")).join(possible, "node")
     chunks = family.groupBy("family").agg(F.ceil(F.sum("n") / F.lit(CHUNK)).cast("int").alias("chunks"))
     nodes = written(family.join(chunks, "family").select(
-        "node", "n", "family", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int").alias("chunk")), "join-nodes")
+        "node", "n", "family", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int").alias("chunk")),
+        "join-nodes", possible)
     place = F.struct("family", "chunk")
 
     members = nodes.select(place.alias("place"), "node", "n")
 
     guests = nodes.select(F.struct("family", F.lit(0).alias("chunk")).alias("place"), "node", "n")
     seats = _seats(members.filter("place.chunk = 0"), guests)
-    near = written(_verified(_seated(source, seats, length), limit), "join-near", free=True)
+    near = written(_verified(_seated(source, seats, length), limit), "join-near", seats)
 
     # lists that still hold several components: all but the largest meet the others
-    found = components(near).select(F.col("a").alias("node"), F.col("b").alias("part"))
+    parts = components(near)
+    found = parts.select(F.col("a").alias("node"), F.col("b").alias("part"))
     placed = written(entries.select("shingle", "node").join(nodes, "node").join(found, "node", "left").select(
-        "shingle", "node", place.alias("place"), F.coalesce("part", "node").alias("part")), "join-parts")
+        "shingle", "node", place.alias("place"), F.coalesce("part", "node").alias("part")), "join-parts", entries, parts)
     per_part = placed.groupBy("shingle", "part").agg(F.count("*").alias("n"))
-    largest = written(per_part.groupBy("shingle").agg(
-        F.max_by("part", F.struct("n", "part")).alias("largest"), F.count("*").alias("parts"))
-        .filter("parts > 1").drop("parts"), "join-open")
-    still = written(placed.join(largest, "shingle"), "join-still")
-    there = written(still.groupBy("shingle", "place").agg(
-        F.min("part").alias("low"), F.max("part").alias("high")), "join-places")
+    largest = per_part.groupBy("shingle").agg(
+        F.max_by("part", F.struct("n", "part")).alias("largest"), F.count("*").alias("parts")) \
+        .filter("parts > 1").drop("parts")
+    still = written(placed.join(largest, "shingle"), "join-still", placed)
+    there = still.groupBy("shingle", "place").agg(F.min("part").alias("low"), F.max("part").alias("high"))
     guests = still.filter("part <> largest").select("shingle", "node", "part").join(there, "shingle") \
         .filter("low <> part OR high <> part").select("place", "node").distinct()
-    guests = written(guests.join(nodes.select("node", "n"), "node"), "join-guests")
-    seats = written(_seats(members, guests), "join-seats")
-    far = written(_verified(_seated(source, seats, length), limit), "join-far", free=True)
+    guests = written(guests.join(nodes.select("node", "n"), "node"), "join-guests", still)
+    seats = _seats(members, guests)
+    discard(guests, nodes)
+    far = written(_verified(_seated(source, seats, length), limit), "join-far", seats)
     return near.unionByName(far)
 
 
