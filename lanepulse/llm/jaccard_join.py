@@ -404,7 +404,7 @@ def heavy_links(source: DataFrame, signed: DataFrame, classes: DataFrame, length
                     .filter("low < high").select("shingle"), "join-lists")
     # classes: (doc, node) of documents that are copies of a smaller one
     entries = written(
-        posted.join(lists, "shingle").join(classes, "doc", "left")
+        posted.join(lists, "shingle").join(classes.withColumnRenamed("doc", "copy"), F.col("doc") == F.col("copy"), "left")
         .select("shingle", F.coalesce("node", "doc").alias("node"), "rank").distinct(), "join-entries", lists)
     entries = _headed(entries, "join-shared")
     sizes = signed.groupBy(F.col("doc").alias("node")).agg(F.max("n").alias("n"), F.min("n").alias("low"))
@@ -429,22 +429,32 @@ def heavy_links(source: DataFrame, signed: DataFrame, classes: DataFrame, length
     seats = _seats(members.filter("place.chunk = 0"), guests)
     near = written(_verified(_seated(source, seats, length), limit), "join-near", seats)
 
-    # lists that still hold several components: all but the largest meet the others
+    # lists that still hold several components: all but the largest meet the others, where
+    # a list has sets of a size that can link
     parts = components(near)
     found = parts.select(F.col("a").alias("node"), F.col("b").alias("part"))
     placed = written(entries.select("shingle", "node").join(nodes, "node").join(found, "node", "left").select(
-        "shingle", "node", place.alias("place"), F.coalesce("part", "node").alias("part")), "join-parts", entries, parts)
+        "shingle", "node", "n", place.alias("place"), F.coalesce("part", "node").alias("part")),
+        "join-parts", entries, parts, nodes)
     per_part = placed.groupBy("shingle", "part").agg(F.count("*").alias("n"))
     largest = per_part.groupBy("shingle").agg(
         F.max_by("part", F.struct("n", "part")).alias("largest"), F.count("*").alias("parts")) \
         .filter("parts > 1").drop("parts")
     still = written(placed.join(largest, "shingle"), "join-still", placed)
-    there = still.groupBy("shingle", "place").agg(F.min("part").alias("low"), F.max("part").alias("high"))
-    guests = still.filter("part <> largest").select("shingle", "node", "part").join(there, "shingle") \
-        .filter("low <> part OR high <> part").select("place", "node").distinct()
-    guests = written(guests.join(nodes.select("node", "n"), "node"), "join-guests", still)
-    seats = _seats(members, guests)
-    discard(guests, nodes)
+    there = still.groupBy("shingle", "place").agg(
+        F.min("part").alias("low"), F.max("part").alias("high"), F.min("n").alias("least"), F.max("n").alias("most"))
+    asked = written(still.filter("part <> largest").select("shingle", "node", "n", "part").join(there, "shingle").filter(
+        f"(low <> part OR high <> part) AND {limit.den} * most >= {limit.num} * n AND {limit.num} * least <= {limit.den} * n")
+        .select("shingle", "place", "node", "n", "part"), "join-asked")
+    # of a place, only the sets of lists that guests of another component and a like size have come for
+    came = asked.groupBy("shingle", "place").agg(
+        F.min("n").alias("least"), F.max("n").alias("most"), F.min("part").alias("low"), F.max("part").alias("high"))
+    hosts = still.select("shingle", "place", "node", "n", "part").join(came, ["shingle", "place"]).filter(
+        f"(low <> part OR high <> part) AND {limit.den} * most >= {limit.num} * n AND {limit.num} * least <= {limit.den} * n") \
+        .select("place", "node", "n").distinct()
+    guests = asked.select("place", "node", "n").distinct()
+    seats = _seats(hosts, guests)
+    discard(still, asked)
     far = written(_verified(_seated(source, seats, length), limit), "join-far", seats)
     return near.unionByName(far)
 
