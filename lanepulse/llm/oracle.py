@@ -20,7 +20,7 @@ LINE_DEDUP = f"""
 WITH split AS (
     SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
 lines AS (
-    SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS at FROM split),
+    SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos FROM split),
 keyed AS (
     SELECT *, {_lower(f"trim(line, {_SPACES})")} AS key FROM lines),
 held AS (
@@ -29,7 +29,7 @@ held AS (
 judged AS (
     SELECT k.*, coalesce(k.doc_id > h.first, false) AS dropped FROM keyed k LEFT JOIN held h USING (key))
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
-    sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
 FROM judged GROUP BY doc_id"""
 
 JACCARD_JOIN = f"""
@@ -67,12 +67,12 @@ QUALITY_RULES = f"""
 WITH split AS (
     SELECT doc_id, {_words("text")} AS w, coalesce(text, '') AS t FROM documents),
 windows AS (
-    SELECT doc_id, at, w[at:at + 2] AS three
-    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS at FROM split)),
+    SELECT doc_id, pos, w[pos:pos + 2] AS three
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS pos FROM split)),
 repeated AS (
-    SELECT doc_id, at FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, three) > 1),
+    SELECT doc_id, pos FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, three) > 1),
 covered AS (
-    SELECT doc_id, count(DISTINCT place) AS n FROM (SELECT doc_id, unnest([at, at + 1, at + 2]) AS place FROM repeated)
+    SELECT doc_id, count(DISTINCT place) AS n FROM (SELECT doc_id, unnest([pos, pos + 1, pos + 2]) AS place FROM repeated)
     GROUP BY doc_id),
 lines AS (
     SELECT doc_id, count(*) AS n, count(DISTINCT line) AS once
@@ -100,19 +100,19 @@ SUBSTRING_DEDUP = f"""
 WITH split AS (
     SELECT doc_id, {_words("text")} AS w FROM documents),
 places AS (
-    SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS at FROM split),
+    SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS pos FROM split),
 windows AS (
-    SELECT doc_id, at, w[at] AS word,
-        CASE WHEN at + 49 <= len(w) THEN md5(array_to_string(w[at:at + 49], ' ')) END AS fifty FROM places),
+    SELECT doc_id, pos, w[pos] AS word,
+        CASE WHEN pos + 49 <= len(w) THEN md5(array_to_string(w[pos:pos + 49], ' ')) END AS fifty FROM places),
 firsts AS (
     SELECT fifty, min(doc_id) AS first FROM windows WHERE fifty IS NOT NULL GROUP BY fifty),
 judged AS (
-    SELECT x.doc_id, x.at, x.word, coalesce(max(CASE WHEN f.first < x.doc_id THEN x.at END) OVER (
-        PARTITION BY x.doc_id ORDER BY x.at) > x.at - 50, false) AS removed
+    SELECT x.doc_id, x.pos, x.word, coalesce(max(CASE WHEN f.first < x.doc_id THEN x.pos END) OVER (
+        PARTITION BY x.doc_id ORDER BY x.pos) > x.pos - 50, false) AS removed
     FROM windows x LEFT JOIN firsts f USING (fifty)),
 kept AS (
     SELECT doc_id, count(*) AS n_words, count(*) FILTER (WHERE removed) AS n_removed,
-        string_agg(word, ' ' ORDER BY at) FILTER (WHERE NOT removed) AS text FROM judged GROUP BY doc_id)
+        string_agg(word, ' ' ORDER BY pos) FILTER (WHERE NOT removed) AS text FROM judged GROUP BY doc_id)
 SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
     sha256(coalesce(kept.text, '')) AS kept_sha256
 FROM documents LEFT JOIN kept USING (doc_id)"""
