@@ -22,8 +22,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 # Stations per snapshot document: bounds the list built for one document.
 STATIONS_PER_DOCUMENT = 100
-# Stations per XML file, as in a real snapshot.
+# Stations per XML file, as in a real snapshot; of a JSON file, a range of as many numbers.
 STATIONS_PER_FILE = 4600
+# Snapshots are mostly tags, so they are kept compressed; a file is read by one task anyway.
+COMPRESSION = "gzip"
 
 
 def query(fn):
@@ -37,6 +39,7 @@ def _write_snapshots(rows: DataFrame, path: str, root: str = "miv") -> None:
         .option("rootTag", root).option("rowTag", "meetpunt")
         .option("attributePrefix", "@")
         .option("maxRecordsPerFile", STATIONS_PER_FILE)
+        .option("compression", COMPRESSION)
         .save(path)
     )
 
@@ -82,7 +85,7 @@ def landed_snapshot(spark, d):
     landed = storage.work_folder(spark, "landed")
     _write_snapshots(A.snapshot_stations(spark, d), xml)
     named = snapshots.with_landed_name(snapshots.read_snapshot_xml(spark, xml, glob=None))
-    files.land_json(named, landed)
+    files.land_json(named, landed, compression=COMPRESSION)
     back = spark.read.schema(S.SNAPSHOT_STATION).json(landed)
     return back.select(
         F.col("`@unieke_id`").alias("unieke_id"), F.size("meetdata").alias("classes"),

@@ -1,3 +1,4 @@
+import gzip
 import hashlib
 import itertools
 import json
@@ -8,7 +9,8 @@ from pyspark.sql import functions as F
 from lanepulse import schemas as S
 from lanepulse import storage
 from lanepulse.operators import output, reshape, stations
-from lanepulse.plans import traffic
+from lanepulse.plans import adapters as A
+from lanepulse.plans import round_trips, traffic
 from lanepulse.sinks import files
 from lanepulse.sinks import tables as keyed
 from lanepulse.sources import events, ramp, snapshots, tables
@@ -242,3 +244,25 @@ def test_speed_ramp(spark):
 def test_work_folder_uses_the_shared_setting(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     assert storage.work_folder(spark, "x").startswith(shared + "/x-")
+
+
+def test_compressed_snapshots_are_read_whole_and_land_under_their_name(spark, xml_folder, tmp_path):
+    folder = tmp_path / "xml" / "input" / "packed"
+    folder.mkdir(parents=True)
+    text = (xml_folder / "4711.xml").read_text()
+    with gzip.open(folder / "12.a.xml.gz", "wt") as f:
+        f.write(text)
+    named = snapshots.with_landed_name(snapshots.read_snapshot_xml(spark, str(folder), glob=None))
+    assert {r.landed_name for r in named.collect()} == {"json/input/packed/12.a.json"}
+    files.land_json(named, str(tmp_path / "landed"), compression="gzip")
+    assert list((tmp_path / "landed").rglob("*.json.gz"))
+    assert spark.read.schema(S.SNAPSHOT_STATION).json(str(tmp_path / "landed")).count() == 2
+    raw = snapshots.read_raw_documents(spark, str(folder), glob=None, ingest_ms=77)
+    assert [r.document for r in raw.collect()] == [text]
+
+
+def test_written_snapshots_are_compressed(spark, tmp_path, monkeypatch):
+    kept = {}
+    monkeypatch.setattr(round_trips.storage, "work_folder", lambda s, p: kept.setdefault(p, str(tmp_path / p)))
+    round_trips.snapshot_xml(spark, "/root/testdata/sf0.001")
+    assert list((tmp_path / "snapshot-xml").glob("*.xml.gz")) and not list((tmp_path / "snapshot-xml").glob("*.xml"))
