@@ -64,17 +64,24 @@ def snapshot_xml(spark, d):
 
 @query
 def snapshot_json(spark, d):
-    """JSON snapshots, one document per group of stations -> flat events."""
+    """JSON snapshots, one document per group of stations -> flat events.
+
+    The documents of a file are an array, so that files are as large as real snapshots.
+    """
     path = storage.work_folder(spark, "snapshot-json")
     station_rows = A.snapshot_stations(spark, d)
     number = F.col("`@unieke_id`").cast("bigint")
     documents = (
-        station_rows.groupBy(F.floor(number / STATIONS_PER_DOCUMENT).alias("document"))
+        station_rows.withColumn("file", F.floor(number / STATIONS_PER_FILE))
+        .repartition("file")  # both groups lie in its partitions
+        .groupBy("file", F.floor(number / STATIONS_PER_DOCUMENT).alias("document"))
         .agg(F.collect_list(F.struct(*[F.col(f"`{c}`") for c in station_rows.columns]))
              .alias("meetpunt"))
-        .select(F.struct("meetpunt").alias("miv"))
+        .select("file", F.struct(F.struct("meetpunt").alias("miv")).alias("document"))
     )
-    documents.write.option("maxRecordsPerFile", 1).json(path)
+    files_ = documents.groupBy("file").agg(F.collect_list("document").alias("documents"))
+    files_.select(F.to_json("documents").alias("value")).write.option("maxRecordsPerFile", 1) \
+        .option("compression", COMPRESSION).text(path)
     return reshape.to_flat_events(snapshots.read_snapshot_json(spark, path, glob="part-*"))
 
 

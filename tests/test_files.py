@@ -266,3 +266,15 @@ def test_written_snapshots_are_compressed(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(round_trips.storage, "work_folder", lambda s, p: kept.setdefault(p, str(tmp_path / p)))
     round_trips.snapshot_xml(spark, "/root/testdata/sf0.001")
     assert list((tmp_path / "snapshot-xml").glob("*.xml.gz")) and not list((tmp_path / "snapshot-xml").glob("*.xml"))
+
+
+def test_json_snapshots_hold_documents_of_bounded_size_in_few_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(round_trips.storage, "work_folder", lambda s, p: str(tmp_path / p))
+    sf_dir = "/root/testdata/sf0.001"
+    flat = round_trips.snapshot_json(spark, sf_dir)
+    numbers = [int(r[0]) for r in A.snapshot_stations(spark, sf_dir).select("`@unieke_id`").collect()]
+    assert flat.count() == len(numbers)
+    documents = [json.load(gzip.open(p)) for p in (tmp_path / "snapshot-json").glob("part-*")]
+    assert len(documents) == len({n // round_trips.STATIONS_PER_FILE for n in numbers})
+    assert sum(map(len, documents)) == len({n // round_trips.STATIONS_PER_DOCUMENT for n in numbers})
+    assert all(len(d["miv"]["meetpunt"]) <= round_trips.STATIONS_PER_DOCUMENT for f in documents for d in f)
