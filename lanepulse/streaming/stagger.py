@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from lanepulse.operators import windows
-from lanepulse.streaming.processor import NO_SENSOR
+from lanepulse.streaming.processor import BUCKETS, NO_SENSOR
 
 # Shipped with the query itself, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -27,9 +27,6 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 _COLUMNS = ("sensor", "start", "total", "n", "readings")
 _OUT = ", ".join(f"{c} long" for c in _COLUMNS)
 
-#: Groups of sensors, by a hash, that share a row of state. A checkpoint keeps the number it began with.
-BUCKETS = 1_024
-
 
 def _frame(rows: list[tuple]) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=list(_COLUMNS)).astype("int64")

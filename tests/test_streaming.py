@@ -1,6 +1,7 @@
 import json
 import os
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,7 +10,7 @@ from lanepulse import schemas as S
 from lanepulse.operators import cleaning, indicators, output
 from lanepulse.plans import streams, traffic
 from lanepulse.sources import events, snapshots, tables
-from lanepulse.streaming import batches, queries
+from lanepulse.streaming import batches, processor, queries
 from test_files import snapshot_file, station_xml
 
 COLUMNS = (
@@ -56,6 +57,48 @@ def test_stream_equals_batch(spark, tmp_path):
     assert rows_of(found) == rows_of(batch)
 
 
+def test_sensors_of_a_bucket_keep_values_of_their_own(spark, tmp_path):
+    """Few rows of state for many sensors, some silent in a batch, one without an id."""
+    rows = [(None if s == 7 else s, X.START + 45.0 * i + s, None if (i + s) % 9 == 0 else (i * 31 + s * 17) % 130,
+             (i + s) % 4) for i in range(60) for s in range(-1, 8) if (i // 20 + s) % 3]
+    rows.sort(key=lambda r: r[1])
+    size = len(rows) // 3
+    sdf = stream_of(spark, tmp_path, rows[:size], rows[size:2 * size], rows[2 * size:], [CLOSING])
+    profile = queries.stream_speed_profile(sdf, delay="1 minute", buckets=2)
+    found = streams.run(queries.stream_readings(profile), "buckets")
+    batch = traffic.windows.speed_readings(X.measurements(spark, rows)).transform(
+        indicators.traffic_indicators)
+    assert rows_of(found) == rows_of(batch)
+
+
+def test_state_is_read_and_written_once_for_all_sensors_of_a_bucket():
+    calls, kept = [], []
+
+    class Value:
+        def get(self):
+            calls.append("get")
+            return kept[-1] if kept else None
+
+        def update(self, value):
+            calls.append("update")
+            kept.append(value)
+
+    class Handle:
+        def getValueState(self, name, schema):
+            return Value()
+
+    p = processor.SpeedProcessor(180, 600, 40, 250, 20)
+    p.init(Handle())
+    names = ["sensor", "us", "speed_sum", "speed_n", "occupancy_sum", "occupancy_n", "copies"]
+    for minute, sensors in enumerate(([1, 2, -1], [3, 2])):
+        rows = [(s, (60 * minute + s) * 1_000_000, 50 * s + 30 * minute, 1, 0, 0, 1) for s in sensors]
+        found = pd.concat(p.handleInputRows((0,), iter([pd.DataFrame(rows, columns=names)]), None))
+        assert sorted(found["uniqueId"]) == sorted(sensors)
+    assert calls == ["get", "update"] * 2
+    before = dict(zip(found["uniqueId"], found["previousSpeed"]))
+    assert before == {2: 100, 3: 180}  # a sensor's first reading has its own speed before it
+
+
 def test_golden_run_in_a_stream(spark, tmp_path):
     rows = X.golden_rows()
     sdf = stream_of(spark, tmp_path, rows[:4], rows[4:], [CLOSING])
