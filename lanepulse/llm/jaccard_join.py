@@ -35,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,6 +74,13 @@ class Threshold:
     def partners(self, n: int) -> range:
         return range(-(-self.num * n // self.den), self.den * n // self.num + 1)
 
+    def reach(self) -> str:
+        """SQL: the largest partner of a set of ``n`` whose first common shingle stands at ``rank`` of it.
+
+        All they share stands there or behind, ``n - rank`` at most, and must be their overlap.
+        """
+        return f"{self.num + self.den} * (n - rank) div {self.num} - n"
+
     def links(self, shared, n, m):
         return self.den * shared >= self.num * (n + m - shared)
 
@@ -178,7 +185,10 @@ def _new_sets(seen: set, values: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def postings(source: DataFrame, length: int, limit: Threshold, least: int, common) -> DataFrame:
-    """(shingle, doc, rank): the first shingles of sets with at least ``least`` of them."""
+    """(doc, shingle, rank): the first shingles of sets with at least ``least`` of them.
+
+    What differs from row to row stands last, so that shuffle files are compressed well.
+    """
     def run(batches):
         seen: set = set()
         often = common.value
@@ -194,10 +204,10 @@ def postings(source: DataFrame, length: int, limit: Threshold, least: int, commo
             rank = np.arange(len(values)) - first[text]
             take = rank < wanted[text]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(values[order][take].view(np.int64)), doc.take(pa.array(text[take])),
-                 pa.array(rank[take].astype(np.int32))], names=["shingle", "doc", "rank"])
+                [doc.take(pa.array(text[take])), pa.array(values[order][take].view(np.int64)),
+                 pa.array(rank[take].astype(np.int32))], names=["doc", "shingle", "rank"])
 
-    return source.mapInArrow(run, "shingle long, doc long, rank int")
+    return source.mapInArrow(run, "doc long, shingle long, rank int")
 
 
 def may_link(n: int, shared: np.ndarray, limit: Threshold) -> bool:
@@ -399,20 +409,21 @@ def heavy_links(source: DataFrame, signed: DataFrame, classes: DataFrame, length
     """Links among sets that share an inverted list; enough to connect all that link."""
     spark = source.sparkSession
     common = spark.sparkContext.broadcast(frequent(source, length))
-    posted = postings(source, length, limit, least, common)
-    lists = written(posted.groupBy("shingle").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
-                    .filter("low < high").select("shingle"), "join-lists")
+    # most lists hold one document: those go where the postings arrive, by one shuffle and one pass over the texts
+    own = Window.partitionBy("shingle")
+    posted = postings(source, length, limit, least, common).withColumns(
+        {"low": F.min("doc").over(own), "high": F.max("doc").over(own)}).filter("low < high")
     # classes: (doc, node) of documents that are copies of a smaller one
     entries = written(
-        posted.join(lists, "shingle").join(classes.withColumnRenamed("doc", "copy"), F.col("doc") == F.col("copy"), "left")
-        .select("shingle", F.coalesce("node", "doc").alias("node"), "rank").distinct(), "join-entries", lists)
+        posted.join(classes.withColumnRenamed("doc", "copy"), F.col("doc") == F.col("copy"), "left")
+        .select("shingle", F.coalesce("node", "doc").alias("node"), "rank").distinct(), "join-entries")
     entries = _headed(entries, "join-shared")
     sizes = signed.groupBy(F.col("doc").alias("node")).agg(F.max("n").alias("n"), F.min("n").alias("low"))
     # documents that share a passage with others, but not enough, leave here
     possible = written(_possible(entries, sizes, limit), "join-possible")
     prefix = F.expr(f"n - ({limit.num} * n + {limit.den} - 1) div {limit.den} + 1")
     entries = written(entries.drop("head").join(possible, "node").filter(F.col("rank") < prefix)
-                      .select("shingle", "node").distinct(), "join-prefixes", entries)
+                      .groupBy("shingle", "node").agg(F.max(F.expr(limit.reach())).alias("reach")), "join-prefixes", entries)
     entries = _headed(entries, "join-families")
 
     # a node's family is the smallest head of its lists; families are cut into chunks
@@ -430,11 +441,12 @@ def heavy_links(source: DataFrame, signed: DataFrame, classes: DataFrame, length
     near = written(_verified(_seated(source, seats, length), limit), "join-near", seats)
 
     # lists that still hold several components: all but the largest meet the others, where
-    # a list has sets of a size that can link
+    # a list has sets of a size that can link. It is enough that two sets meet at their first
+    # common shingle, where each is within the other's reach
     parts = components(near)
     found = parts.select(F.col("a").alias("node"), F.col("b").alias("part"))
-    placed = written(entries.select("shingle", "node").join(nodes, "node").join(found, "node", "left").select(
-        "shingle", "node", "n", place.alias("place"), F.coalesce("part", "node").alias("part")),
+    placed = written(entries.select("shingle", "node", "reach").join(nodes, "node").join(found, "node", "left").select(
+        "shingle", "node", "n", "reach", place.alias("place"), F.coalesce("part", "node").alias("part")),
         "join-parts", entries, parts, nodes)
     per_part = placed.groupBy("shingle", "part").agg(F.count("*").alias("n"))
     largest = per_part.groupBy("shingle").agg(
@@ -442,16 +454,17 @@ def heavy_links(source: DataFrame, signed: DataFrame, classes: DataFrame, length
         .filter("parts > 1").drop("parts")
     still = written(placed.join(largest, "shingle"), "join-still", placed)
     there = still.groupBy("shingle", "place").agg(
-        F.min("part").alias("low"), F.max("part").alias("high"), F.min("n").alias("least"), F.max("n").alias("most"))
-    asked = written(still.filter("part <> largest").select("shingle", "node", "n", "part").join(there, "shingle").filter(
-        f"(low <> part OR high <> part) AND {limit.den} * most >= {limit.num} * n AND {limit.num} * least <= {limit.den} * n")
-        .select("shingle", "place", "node", "n", "part"), "join-asked")
+        F.min("part").alias("low"), F.max("part").alias("high"), F.min("n").alias("least"), F.max("n").alias("most"),
+        F.max("reach").alias("far"))
+    alike = f"(low <> part OR high <> part) AND {limit.den} * most >= {limit.num} * n AND least <= reach AND n <= far"
+    asked = written(still.filter("part <> largest").select("shingle", "node", "n", "reach", "part").join(there, "shingle")
+                    .filter(alike).select("shingle", "place", "node", "n", "reach", "part"), "join-asked")
     # of a place, only the sets of lists that guests of another component and a like size have come for
     came = asked.groupBy("shingle", "place").agg(
-        F.min("n").alias("least"), F.max("n").alias("most"), F.min("part").alias("low"), F.max("part").alias("high"))
-    hosts = still.select("shingle", "place", "node", "n", "part").join(came, ["shingle", "place"]).filter(
-        f"(low <> part OR high <> part) AND {limit.den} * most >= {limit.num} * n AND {limit.num} * least <= {limit.den} * n") \
-        .select("place", "node", "n").distinct()
+        F.min("n").alias("least"), F.max("n").alias("most"), F.min("part").alias("low"), F.max("part").alias("high"),
+        F.max("reach").alias("far"))
+    hosts = still.select("shingle", "place", "node", "n", "reach", "part").join(came, ["shingle", "place"]) \
+        .filter(alike).select("place", "node", "n").distinct()
     guests = asked.select("place", "node", "n").distinct()
     seats = _seats(hosts, guests)
     discard(still, asked)
