@@ -9,6 +9,7 @@ import fixtures as X
 from lanepulse import schemas as S
 from lanepulse.operators import cleaning, indicators, output
 from lanepulse.plans import streams, traffic
+from lanepulse.sinks import files
 from lanepulse.sources import events, snapshots, tables
 from lanepulse.streaming import batches, processor, queries
 from test_files import snapshot_file, station_xml
@@ -166,6 +167,37 @@ def test_sinks_end_as_the_batch_does(spark, tmp_path):
     assert spark.read.text(sinks.folder("dashboard")).count() == 3 * len(rows)
 
 
+def test_archive_and_dashboard_hold_the_same_lines_in_less_room(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    rows = X.sequence([120, 30, 20, 10, 90] * 80, step=60.0)
+    profile = streams.run(
+        queries.stream_speed_profile(stream_of(spark, folder, rows, [CLOSING]), delay="1 minute"), "compressed")
+    loc = spark.createDataFrame([(812, "Noordbrug")], "id int, locatie string")
+    packed = batches.TrafficSinks(str(tmp_path / "packed"), loc)
+    plain = batches.TrafficSinks(str(tmp_path / "plain"), loc, compression="none")
+    for sinks in (packed, plain):
+        sinks(profile, 0)
+
+    def size(name, top):
+        return sum(p.stat().st_size for p in (tmp_path / top / name).rglob("part-*"))
+
+    for name in ("archive", "dashboard"):
+        lines = [sorted(r.value for r in spark.read.text(s.folder(name)).collect()) for s in (packed, plain)]
+        assert lines[0] == lines[1] and len(lines[0]) == 3 * len(rows)
+        assert 5 * size(name, "packed") < size(name, "plain")
+
+
+def test_dashboard_payload_is_a_list_of_one_object_without_an_array(spark):
+    results = traffic.traffic_results(X.measurements(spark, X.random_rows(4, n=60)), spark.createDataFrame(
+        [(1, 'a "b"\n[c]')], "id int, locatie string"))
+    rows = output.dashboard_rows(results)
+    found = files.dashboard_payload(results)
+    wanted = rows.select(F.to_json(F.array(F.struct(*rows.columns))).alias("value"))
+    assert sorted(found.collect()) == sorted(wanted.collect()) and found.schema == wanted.schema
+    assert "array(" not in found._jdf.queryExecution().optimizedPlan().toString().split("\n")[0]
+
+
 def test_snapshot_files_to_results(spark, tmp_path):
     """New XML files -> archive and results, one query each."""
     folder = tmp_path / "xml"
