@@ -263,6 +263,45 @@ def test_settings_are_put_back(spark):
     assert spark.conf.get(queries.PARTITIONS) == before
 
 
+def test_rows_in_state_are_not_counted_and_a_checkpoint_that_counted_goes_on(spark, tmp_path, monkeypatch):
+    rows = [(s, X.START + 37.0 * i, (i * 31 + s) % 130, (i + s) % 4) for i in range(30) for s in (1, 2, 3)]
+    parts = [rows[:40], rows[40:], [CLOSING]]
+    folder = tmp_path / "in"
+    folder.mkdir()
+
+    def run_to(n):
+        sdf = queries.stream_readings(
+            queries.stream_speed_profile(stream_of(spark, folder, *parts[:n]), delay="1 minute"))
+        query = queries.start(
+            sdf, lambda df, i: df.write.mode("overwrite").parquet(f"{tmp_path}/out/batch={i}"),
+            f"{tmp_path}/checkpoint", trigger=None)
+        query.awaitTermination()
+        # the aggregation is the last of the stateful operators
+        return [p.stateOperators[-1].numRowsTotal for p in query.recentProgress]
+
+    with monkeypatch.context() as m:
+        m.setattr(queries, "COUNT_ROWS", "spark.lanepulse.unused")
+        assert max(run_to(1)) > 0
+    assert max(run_to(3)) <= 0
+    batch = traffic.windows.speed_readings(X.measurements(spark, rows)).transform(
+        indicators.traffic_indicators)
+    assert rows_of(spark.read.parquet(f"{tmp_path}/out")) == rows_of(batch)
+
+
+def test_measurements_of_some_sensors_are_chosen_before_they_are_parsed(spark, capsys):
+    sf_dir = "/root/testdata/sf0.001"
+    for half in (0, 1):
+        of = (F.col("uniqueId") == -1) | (F.pmod("uniqueId", F.lit(2)) == half)
+        chosen = streams.measurement_stream(spark, sf_dir, of)
+        chosen.explain()
+        plan = capsys.readouterr().out
+        assert "Filter" in plan[plan.index("get_json_object"):]
+        later = streams.run(streams.measurement_stream(spark, sf_dir).where(of), "later")
+        found = sorted(map(str, streams.run(chosen, "chosen").collect()))
+        assert found == sorted(map(str, later.collect()))
+        assert sum("uniqueId=-1," in r for r in found) == 1 < len(found)
+
+
 def test_record_hook_on_a_stream(spark, tmp_path):
     (tmp_path / "a.json").write_text(
         '{"unieke_id":"1","voertuigsnelheid_harmonisch_klasse2":"80"}\n'
