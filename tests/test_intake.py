@@ -4,6 +4,7 @@ import json
 import os
 import time
 
+import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -241,6 +242,82 @@ def test_consumer_writes_flags_only_when_they_change(spark, tmp_path):
     assert stored["1", jam] == "50000" and stored["1", diff] == "60000" and stored["1", avg] == "20000"
 
 
+def test_flags_of_a_bucket_are_read_and_written_once():
+    calls, kept = [], []
+
+    class Value:
+        def get(self):
+            calls.append("get")
+            return kept[-1] if kept else None
+
+        def update(self, value):
+            calls.append("update")
+            kept.append(value)
+
+    class Handle:
+        def getValueState(self, name, schema):
+            return Value()
+
+    keeper = consumers.FlagKeeper()
+    keeper.init(Handle())
+    # places of the variants: 0 speed change, 1 jam, 2 average
+    for stored in ([(1, 1, 0), (2, 1, 1)], [(2, 0, -1)]):
+        keeper.handleInitialState((0,), pd.DataFrame(stored, columns=["sensor", "variant", "flag"]), None)
+    calls.clear()
+    columns = ["sensor", "variant", "us", "position", "flag", "value"]
+    frames = [[(2, 1, 20, 0, 0, "b"), (1, 1, 10, 0, 0, "a"), (3, 2, 9, 0, 9, "c"), (2, 1, 30, 0, 0, "d")],
+              [(2, 1, 10, 0, 1, "e"), (3, 2, 8, 0, 9, "f"), (2, 0, 5, 1, 0, "g"), (2, 0, 5, 0, -1, "h"),
+               (4, 0, consumers.NO_TIME, 0, 1, "i"), (4, 0, 7, 0, 1, "j"), (-1, -1, 7, 0, 1, "k")]]
+    found = pd.concat(keeper.handleInputRows((0,), iter([pd.DataFrame(f, columns=columns) for f in frames]), None))
+    assert calls == ["get", "update"]
+    assert sorted(zip(found["value"], found["position"], found["outputType"]), key=str) == [
+        ("b", 0, S.TRAFFIC_JAM), ("c", 0, S.SPEED_AVG), ("g", 1, S.SPEED_DIFFERENTIAL), ("j", 0, S.SPEED_DIFFERENTIAL),
+        ("k", 0, None)]
+    assert sorted(zip(*kept[-1])) == [(1, 1, 0), (2, 0, 0), (2, 1, 0), (4, 0, 1)]
+
+
+def test_sensors_of_a_bucket_keep_flags_of_their_own(spark, tmp_path):
+    """Few rows of state, two consumers, some sensors silent in a batch, items in several frames."""
+    folder, jam, diff, avg = str(tmp_path), S.TRAFFIC_JAM, S.SPEED_DIFFERENTIAL, S.SPEED_AVG
+    rows, stored, writes, expected = [], {}, [], {}
+    for i in range(40):
+        batch = i // 10
+        for s in (None, *range(-2, 9)):
+            n = 0 if s is None else s
+            if (batch + n) % 3 == 0:
+                continue
+            flag = (i * 7 + n * 5) // 4 % 3 - 1
+            rows.append((batch, [(diff, s, 60, 50, flag, None, i), (jam, s, None, 50, None, -flag, i),
+                                 (avg, s, None, 50 + i, None, None, i)]))
+            for tag, value in ((diff, flag), (jam, -flag)):
+                if stored.get((s, tag)) != value:
+                    writes.append((tag, s, i * 1000))
+                    expected[str(s), tag] = str(i * 1000)
+                stored[s, tag] = value
+    for k in range(4):
+        publish(spark, folder, k, [r for batch, of in reversed(rows) if batch == k for r in of])
+    table = f"{folder}/state"
+
+    def run(glob, checkpoint, items=None):
+        source = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).parquet(f"{folder}/{glob}")
+        seen = []
+
+        def sink(records, batch_id):
+            seen.extend(tuple(r) for r in records.where("outputType <> 'SPEED_AVG'").select(
+                "outputType", "uniqueId", "recordTimestamp").collect())
+            consumers.StateTable(table)(records, batch_id)
+
+        records = consumers.written_records(events.read_results(source), items, buckets=2)
+        queries.start(records, sink, checkpoint, trigger=None).awaitTermination()
+        return seen
+
+    with queries.settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": "5"}):
+        seen = run("p-[01]", f"{folder}/c0") + run("p-[23]", f"{folder}/c1", tables.scan_state(spark, table))
+    assert sorted(seen, key=str) == sorted(writes, key=str)
+    left = {(r.uniqueId, r.outputType): r.recordTimestamp for r in tables.scan_state(spark, table).collect()}
+    assert {k: v for k, v in left.items() if k[1] != avg} == expected
+
+
 # --- tables and archives ------------------------------------------------------
 
 def test_table_changes(spark):
